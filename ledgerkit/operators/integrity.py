@@ -5,28 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerkit.operators.link import SPREAD, spread_nulls
 from ledgerkit.operators.project import quoted
 
 
+def _unmatched(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """Rows whose key the other side lacks. Its keys are made distinct before they move, on the same
+    two columns the join uses, so one shuffle serves both."""
+    keys = others.filter(quoted(key).isNotNull()).select(quoted(key), F.xxhash64(quoted(key)).alias(SPREAD))
+    return spread_nulls(rows, key).join(keys.distinct(), [key, SPREAD], "left_anti").drop(SPREAD)
+
+
 def anti_parents(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """Parent rows no child refers to. Child keys are reduced to distinct ones before they move."""
-    child_keys = children.select(quoted(key)).distinct()
-    return parents.join(child_keys, key, "left_anti")
+    """Parent rows no child refers to."""
+    return _unmatched(parents, children, key)
 
 
 def anti_orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Child rows whose parent does not exist; a null key is an orphan.
-
-    Null keys can be many and match nothing, so the second join key spreads them by their whole row;
-    it is a function of the key for every other row.
-    """
-    parent_keys = parents.select(quoted(key).alias("_parent")).distinct()
-    child_key, parent_key = quoted(key), F.col("_parent")
-    spread = F.when(child_key.isNull(), F.xxhash64(*[quoted(c) for c in children.columns]))
-    spread = spread.otherwise(F.xxhash64(child_key))
-    return children.join(
-        parent_keys, (child_key == parent_key) & (spread == F.xxhash64(parent_key)), "left_anti"
-    )
+    """Child rows whose parent does not exist; a null key is an orphan."""
+    return _unmatched(children, parents, key)
 
 
 def key_balance(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

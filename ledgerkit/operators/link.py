@@ -9,6 +9,19 @@ from ledgerkit.operators.project import quoted
 from ledgerkit.spec import ColumnSpec, ParentLink, TableSpec
 
 
+SPREAD = "_spread"
+
+
+def spread_nulls(df: DataFrame, key: str) -> DataFrame:
+    """Add a second join key that keeps rows without ``key`` from meeting in one partition.
+
+    Such rows can be a large share of a table and match nothing, but hash alike. The added column is a
+    hash of the key where there is one, so it changes no match, and a hash of the whole row elsewhere.
+    """
+    whole_row = F.xxhash64(*[quoted(c) for c in df.columns])
+    return df.withColumn(SPREAD, F.when(quoted(key).isNull(), whole_row).otherwise(F.xxhash64(quoted(key))))
+
+
 def choose_link(columns: list[str], link: ParentLink) -> str:
     """``direct`` when the key is there, ``lookup`` when only the alternate key is."""
     if link.key in columns:
@@ -28,7 +41,8 @@ def spec_for(columns: list[str], spec: TableSpec, link: ParentLink) -> TableSpec
 def parent_lookup(parents: DataFrame, link: ParentLink, on_duplicate: str = "fan_out") -> DataFrame:
     """Alternate key to key. Repeated alternate keys multiply the child rows (``fan_out``), are
     settled on the smallest key (``min``), or fail the query (``error``)."""
-    pairs = parents.select(quoted(link.key), quoted(link.alternate)).filter(quoted(link.alternate).isNotNull())
+    number = quoted(link.alternate)
+    pairs = parents.filter(number.isNotNull()).select(quoted(link.key), number, F.xxhash64(number).alias(SPREAD))
     if on_duplicate == "fan_out":
         return pairs
     smallest = F.min(link.key)
@@ -37,7 +51,7 @@ def parent_lookup(parents: DataFrame, link: ParentLink, on_duplicate: str = "fan
         smallest = F.when(F.count("*") > 1, F.raise_error(clash)).otherwise(smallest)
     elif on_duplicate != "min":
         raise ValueError(f"unknown duplicate rule {on_duplicate!r}")
-    return pairs.groupBy(link.alternate).agg(smallest.alias(link.key))
+    return pairs.groupBy(link.alternate, SPREAD).agg(smallest.alias(link.key))
 
 
 def lookup_left(
@@ -45,17 +59,12 @@ def lookup_left(
 ) -> DataFrame:
     """Left join that fills the key from the alternate key; unmatched children keep a null key.
 
-    Children without an alternate key can be a large share of the rows and never match. The second
-    join key spreads them by the rest of their row instead of sending them all to one partition; it is
-    a function of the alternate key for every other row, so it changes no result. A hot alternate key
-    is left to the adaptive skew join, which can split the child side of a left join.
+    A hot alternate key is left to the adaptive skew join, which can split the child side of a left
+    join; rows without one are spread by ``spread_nulls``.
     """
     lookup = parent_lookup(parents, link, on_duplicate)
-    others = [quoted(c) for c in children.columns if c != link.alternate]
-    child_key, parent_key = children[f"`{link.alternate}`"], lookup[f"`{link.alternate}`"]
-    spread = F.when(child_key.isNull(), F.xxhash64(*others)).otherwise(F.xxhash64(child_key))
-    joined = children.join(lookup, (child_key == parent_key) & (spread == F.xxhash64(parent_key)), "left")
-    return joined.select(lookup[f"`{link.key}`"], *[children[f"`{c}`"] for c in children.columns])
+    joined = spread_nulls(children, link.alternate).join(lookup, [link.alternate, SPREAD], "left")
+    return joined.select(quoted(link.key), *[quoted(c) for c in children.columns])
 
 
 def link_to_parent(

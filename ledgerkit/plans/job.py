@@ -16,7 +16,7 @@ from ledgerkit.operators.project import apply_spec, clean_columns, stitch_single
 from ledgerkit.plans.invoices import DISTINCT_INVOICE_COLUMNS
 from ledgerkit.sources.delimited import read_delimited, repair_header
 from ledgerkit.sources.tables import overwrite_table
-from ledgerkit.spec import JobConfig, ParentLink, TableSpec
+from ledgerkit.spec import JobConfig, ParentLink
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,7 @@ class JobResult:
     parents: DataFrame
     children: DataFrame
     summary: DataFrame
-    null_profile: DataFrame
+    invoice_nulls: DataFrame
     parse_failures: DataFrame
     by_year: DataFrame
     top_countries: DataFrame
@@ -46,8 +46,12 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def read_clean(spark: SparkSession, path: str, config: JobConfig, key: str) -> DataFrame:
-    """Scan, repair the first header name, clean every column."""
-    raw = read_delimited(spark, path, config.dialect)
+    """Scan, repair the first header name, clean every column.
+
+    Rows are shuffled here only if the files are too few to keep the cluster busy; after that, or with
+    enough files, partitions are already of a good size for the write.
+    """
+    raw = read_delimited(spark, path, config.dialect, rebalance=None)
     return clean_columns(repair_header(raw, key, config.repair))
 
 
@@ -96,12 +100,12 @@ def run_summary(invoices: DataFrame, lines: DataFrame, link: ParentLink) -> Data
     return integrity.with_integrity_status(integrity.with_count_parity(integrity.with_match_rates(row)))
 
 
-def validate(invoices: DataFrame, lines: DataFrame, parents: TableSpec, link: ParentLink) -> JobResult:
+def validate(invoices: DataFrame, lines: DataFrame, link: ParentLink) -> JobResult:
     return JobResult(
         parents=invoices,
         children=lines,
         summary=run_summary(invoices, lines, link),
-        null_profile=profile.null_profile(invoices),
+        invoice_nulls=profile.null_profile(invoices),
         parse_failures=profile.parse_failures(invoices, ["InvoiceDate"]).unionAll(
             profile.parse_failures(lines, [link.key])
         ),
@@ -114,4 +118,4 @@ def run(spark: SparkSession, config: JobConfig) -> JobResult:
     """Write both tables, then return them with their reports."""
     invoices = ingest_parents(spark, config)
     lines = ingest_children(spark, config)
-    return validate(invoices, lines, config.parents, config.link)
+    return validate(invoices, lines, config.link)

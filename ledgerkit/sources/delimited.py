@@ -33,6 +33,12 @@ def header_names(spark: SparkSession, path: str | list[str], dialect: Dialect) -
     return names
 
 
+def fewer_files_than_cores(spark: SparkSession, path: str | list[str]) -> bool:
+    """Looks at the file listing only, and stops once there are enough files."""
+    cores = spark.sparkContext.defaultParallelism
+    return spark.read.format("binaryFile").load(path).select("path").limit(cores).count() < cores
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -40,15 +46,15 @@ def read_delimited(
     *,
     columns: list[str] | None = None,
     reject_column: str | None = None,
-    rebalance: bool = False,
+    rebalance: bool | None = False,
 ) -> DataFrame:
     """Read files as text columns named by ``columns`` or by their header.
 
     Short rows are padded with nulls and long rows cut; ``reject_column`` receives the text of every
     such row and is null elsewhere. All files of one load must carry the same header.
 
-    A multi-line file is one task unless ``dialect.split`` is set. For a few large files that cannot
-    be split, ``rebalance`` spreads the rows right after the scan, before any parsing.
+    A multi-line file is one task unless ``dialect.split`` is set. ``rebalance`` spreads the rows right
+    after the scan, before any parsing; ``None`` does so only for fewer such files than cores.
     """
     dialect = dialect or Dialect()
     names = columns or header_names(spark, path, dialect)
@@ -63,6 +69,8 @@ def read_delimited(
     if reject_column:
         reader = reader.option("columnNameOfCorruptRecord", reject_column)
     df = reader.csv(path)
+    if rebalance is None:
+        rebalance = dialect.multiline and fewer_files_than_cores(spark, path)
     return df.hint("rebalance") if rebalance else df
 
 

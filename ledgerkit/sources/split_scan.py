@@ -57,8 +57,8 @@ def physical_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def split_states(lines: DataFrame, quote: str) -> DataFrame:
     """One row per split: whether it begins and ends inside a quoted value, its first and last line with
     an odd number of quotes, its first line with content, and the split that owns its leading lines."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
-    odd = F.when(quotes % 2 == 1, F.col("line"))
+    quote_bytes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(quote), F.lit("")))
+    odd = F.when(quote_bytes % (2 * len(quote.encode())) != 0, F.col("line"))
     per_split = lines.groupBy(*SPLIT_KEY).agg(
         (F.count(odd) % 2).alias("parity"),
         F.min(odd).alias("first_odd"),

@@ -41,15 +41,18 @@ def overwrite_table(
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
     table_format: str = "parquet",
     path: str | None = None,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Replace table ``name``, schema included, and return a scan of it.
 
-    The rebalance hint lets adaptive execution size the output partitions from the bytes that arrive,
-    splitting large ones and merging small ones, instead of a fixed partition count.
+    No file holds more than ``max_records_per_file`` rows. ``rebalance`` costs a shuffle: adaptive
+    execution then splits large and merges small partitions by the bytes that arrive, where a fixed
+    partition count would give many tiny files or a few huge ones.
     """
+    if rebalance:
+        df = df.hint("rebalance")
     writer = (
-        df.hint("rebalance")
-        .write.format(table_format)
+        df.write.format(table_format)
         .mode("overwrite")
         .option("overwriteSchema", "true")
         .option("maxRecordsPerFile", max_records_per_file)

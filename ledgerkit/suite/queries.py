@@ -105,7 +105,7 @@ def overwrite_schema(spark: SparkSession, sf: str) -> DataFrame:
 
 def bounded_files(spark: SparkSession, sf: str) -> DataFrame:
     name = E.table_name(spark, sf, "bounded")
-    written = _overwrite(spark, sf, E.lines(spark, sf), name, max_records_per_file=MAX_RECORDS_PER_FILE)
+    written = _overwrite(spark, sf, E.lines(spark, sf), name, max_records_per_file=MAX_RECORDS_PER_FILE, rebalance=True)
     return tables.oversized_files(written, MAX_RECORDS_PER_FILE)
 
 
