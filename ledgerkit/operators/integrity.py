@@ -11,7 +11,8 @@ from ledgerkit.operators.project import quoted
 
 def _unmatched(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
     """Rows whose key the other side lacks. Its keys are made distinct before they move, on the same
-    two columns the join uses, so one shuffle serves both."""
+    two columns the join uses, so one shuffle serves both. Every column of ``rows`` is read: select
+    those wanted beforehand."""
     keys = others.filter(quoted(key).isNotNull()).select(quoted(key), F.xxhash64(quoted(key)).alias(SPREAD))
     return spread_nulls(rows, key).join(keys.distinct(), [key, SPREAD], "left_anti").drop(SPREAD)
 

@@ -51,19 +51,21 @@ def read_delimited(
     """Read files as text columns named by ``columns`` or by their header.
 
     Short rows are padded with nulls and long rows cut; ``reject_column`` receives the text of every
-    such row and is null elsewhere. All files of one load must carry the same header.
+    such row and is null elsewhere. Columns go by position, so all files of one load must carry the same
+    header; this is checked unless a name is empty.
 
     A multi-line file is one task unless ``dialect.split`` is set. ``rebalance`` spreads the rows right
     after the scan, before any parsing; ``None`` does so only for fewer such files than cores.
     """
     dialect = dialect or Dialect()
     names = columns or header_names(spark, path, dialect)
+    same_header = dialect.header and not columns and not any(n == f"_c{i}" for i, n in enumerate(names))
     if dialect.split:
-        return read_split(spark, path, dialect, names, reject_column)
+        return read_split(spark, path, dialect, names, reject_column, same_header)
     fields = [*names, reject_column] if reject_column else names
     reader = (
         spark.read.options(**dialect.read_options())
-        .option("enforceSchema", "false")
+        .option("enforceSchema", str(not same_header).lower())
         .schema(T.StructType([T.StructField(name, T.StringType()) for name in fields]))
     )
     if reject_column:

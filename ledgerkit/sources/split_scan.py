@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -132,12 +132,13 @@ def read_split(
     dialect: Dialect,
     names: list[str],
     reject_column: str | None = None,
+    same_header: bool = False,
     max_broadcast_splits: int = MAX_BROADCAST_SPLITS,
 ) -> DataFrame:
     """Text columns ``names`` of regular multi-line files, one task per split.
 
     The split table is worked out at once (one counting pass) and kept in the shared folder; its size
-    decides how it is joined. The rest is lazy.
+    decides how it is joined. The rest is lazy. ``same_header`` requires every file to name its columns so.
     """
     if dialect.encoding.upper() != "UTF-8" or dialect.quote != dialect.escape:
         raise ValueError("Dialect(split=True) needs UTF-8 and quotes escaped by doubling")
@@ -155,11 +156,22 @@ def read_split(
     else:
         located = lines.join(splits, SPLIT_KEY, "left").sortWithinPartitions(*SPLIT_KEY, "line")
 
-    known = F.when(F.col("begins_inside").isNull(), F.raise_error(F.lit("the files changed while being read")))
+    def parsed(columns: list[str], **options: str) -> Column:
+        ddl = ", ".join("`{}` string".format(name.replace("`", "``")) for name in columns)
+        return F.from_csv("value", F.lit(ddl), dialect.parse_options() | {"multiLine": "true"} | options)
+
     head = F.col("begins_inside") & F.coalesce(F.col("line") <= F.col("first_odd"), F.lit(True))
     tail = F.col("ends_inside") & F.coalesce(F.col("line") >= F.col("last_odd"), F.lit(False))
-    is_header = F.lit(dialect.header) & (F.col("start") == 0) & (F.col("line") == F.col("first_filled"))
-    body = located.filter(known.isNull() & ~F.coalesce(is_header, F.lit(False)))
+    is_header = F.lit(dialect.header) & (F.col("start") == 0)
+    is_header &= F.coalesce(F.col("line") == F.col("first_filled"), F.lit(False))
+    other_header = parsed(names) != F.struct(*[F.lit(name).alias(name) for name in names])
+    problem = F.when(F.col("begins_inside").isNull(), F.raise_error(F.lit("the files changed while being read")))
+    if same_header:
+        problem = problem.when(
+            is_header & other_header,
+            F.raise_error(F.concat(F.lit("another header in "), "file", F.lit(": "), "value")),
+        )
+    body = located.filter(problem.isNull() & ~is_header)
 
     inner = body.filter(~head & ~tail).select("value")
     parts = F.array_sort(F.collect_list(F.struct("start", "line", "value")))
@@ -174,14 +186,7 @@ def read_split(
         _record_joiner(dialect.quote, _record_pattern(dialect)), "value string"
     )
 
-    options = dialect.parse_options() | {"multiLine": "true"}
-    fields = list(names)
-    if reject_column:
-        fields.append(reject_column)
-        options["columnNameOfCorruptRecord"] = reject_column
-    ddl = ", ".join("`{}` string".format(name.replace("`", "``")) for name in fields)
-    return (
-        records.filter(F.trim("value") != "")
-        .select(F.from_csv("value", F.lit(ddl), options).alias("record"))
-        .select("record.*")
+    record = (
+        parsed([*names, reject_column], columnNameOfCorruptRecord=reject_column) if reject_column else parsed(names)
     )
+    return records.filter(F.trim("value") != "").select(record.alias("record")).select("record.*")

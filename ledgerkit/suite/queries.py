@@ -194,13 +194,13 @@ def lookup_smallest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anti_parents(spark: SparkSession, sf: str) -> DataFrame:
-    found = integrity.anti_parents(E.invoices(spark, sf), E.lines(spark, sf), "InvoiceId")
-    return found.select("InvoiceId", "CustomerKey", "InvoiceDate")
+    invoices = E.invoices(spark, sf).select("InvoiceId", "CustomerKey", "InvoiceDate")
+    return integrity.anti_parents(invoices, E.lines(spark, sf), "InvoiceId")
 
 
 def anti_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    orphans = integrity.anti_orphans(E.lines(spark, sf, lost_parents=True), E.invoices(spark, sf), "InvoiceId")
-    return orphans.select("InvoiceId", "InvoiceLineId", "Quantity")
+    lines = E.lines(spark, sf, lost_parents=True).select("InvoiceId", "InvoiceLineId", "Quantity")
+    return integrity.anti_orphans(lines, E.invoices(spark, sf), "InvoiceId")
 
 
 # Aggregations
