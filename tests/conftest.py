@@ -17,7 +17,7 @@ TABLES = (
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*")
+    session = local_session("*", shuffle_partitions=4)
     yield session
     session.stop()
 
