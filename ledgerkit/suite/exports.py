@@ -6,7 +6,7 @@ ingesting that text must give. Defects are spread by key over whole tables; no r
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ LOST_PARENT_EVERY = 10
 LOST_PARENT_OFFSET = 1_000_000_000_000
 REPEATED_NUMBERS = 14_000
 
+_written: set[str] = set()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -155,30 +157,24 @@ def lines(spark: SparkSession, sf_dir: str, lost_parents: bool = False) -> DataF
     )
 
 
-@lru_cache(maxsize=None)
-def _written(app_id: str, path: str) -> set[str]:
-    """Marks kept per application, so that queries sharing an export write it once."""
-    return set()
+def _written_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Write an export to the shared folder unless this application already has; return its path."""
+    path = f"{shared_folder(spark)}/exports/{sf_dir.strip('/').replace('/', '_')}/{name}"
+    if path not in _written:
+        write(path)
+        _written.add(path)
+    return path
 
 
 def export(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, dialect: Dialect) -> str:
-    """Write a text frame as delimited files in the shared folder and return their path."""
-    path = f"{shared_folder(spark)}/exports/{sf_dir.strip('/').replace('/', '_')}/{name}"
-    marks = _written(spark.sparkContext.applicationId, path)
-    if not marks:
-        df.write.mode("overwrite").options(**dialect.write_options()).csv(path)
-        marks.add(path)
-    return path
+    """A text frame as delimited files."""
+    writer = df.write.mode("overwrite").options(**dialect.write_options())
+    return _written_once(spark, sf_dir, name, writer.csv)
 
 
 def export_text(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame) -> str:
-    """Write ready-made records, one text value each, without a header."""
-    path = f"{shared_folder(spark)}/exports/{sf_dir.strip('/').replace('/', '_')}/{name}"
-    marks = _written(spark.sparkContext.applicationId, path)
-    if not marks:
-        rows.write.mode("overwrite").text(path)
-        marks.add(path)
-    return path
+    """Ready-made records, one text value each, without a header."""
+    return _written_once(spark, sf_dir, name, rows.write.mode("overwrite").text)
 
 
 def table_name(spark: SparkSession, sf_dir: str, name: str) -> str:

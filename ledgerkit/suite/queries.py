@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.operators import integrity, profile, report
-from ledgerkit.operators.link import link_to_parent, lookup_left, spec_for
-from ledgerkit.operators.project import apply_spec, clean_columns, project_existing, project_subset
 from ledgerkit.functions import text
+from ledgerkit.operators import integrity, link, profile, project, report
+from ledgerkit.operators.project import apply_spec, clean_columns
 from ledgerkit.plans import invoices as I
 from ledgerkit.plans import job
 from ledgerkit.sources import tables
@@ -16,8 +17,17 @@ from ledgerkit.sources.delimited import read_delimited, repair_header
 from ledgerkit.spec import MAX_RECORDS_PER_FILE, Dialect, JobConfig
 from ledgerkit.suite import exports as E
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 EXPORT = Dialect()
 NO_HEADER = Dialect(header=False)
+QUERIES: dict[str, Query] = {}
+
+
+def query(function: Query) -> Query:
+    """Register a query under the name of its function."""
+    QUERIES[function.__name__] = function
+    return function
 
 
 def _documents_export(spark: SparkSession, sf: str) -> str:
@@ -28,15 +38,18 @@ def _documents_export(spark: SparkSession, sf: str) -> str:
 # Sources and header repair
 
 
+@query
 def scan_delimited(spark: SparkSession, sf: str) -> DataFrame:
     return read_delimited(spark, _documents_export(spark, sf), EXPORT)
 
 
+@query
 def scan_split(spark: SparkSession, sf: str) -> DataFrame:
     """The same files, each read by many tasks."""
     return read_delimited(spark, _documents_export(spark, sf), Dialect(split=True))
 
 
+@query
 def scan_permissive(spark: SparkSession, sf: str) -> DataFrame:
     """Records with a field missing, right, or one too many."""
     raw = E.raw_order_keys(spark, sf)
@@ -50,6 +63,7 @@ def scan_permissive(spark: SparkSession, sf: str) -> DataFrame:
     return df.select(*columns, F.col("rejected").isNotNull().cast("bigint").alias("malformed"))
 
 
+@query
 def header_repair(spark: SparkSession, sf: str) -> DataFrame:
     """First name damaged by an encoding mark: renamed."""
     damaged = E.raw_order_keys(spark, sf).withColumnRenamed("InvoiceId", "\ufffd\ufffdInvoiceId")
@@ -57,6 +71,7 @@ def header_repair(spark: SparkSession, sf: str) -> DataFrame:
     return repair_header(read_delimited(spark, path, EXPORT), "InvoiceId")
 
 
+@query
 def header_repair_drop(spark: SparkSession, sf: str) -> DataFrame:
     """First name damaged while an intact key exists: the damaged column is dropped."""
     raw = E.raw_order_keys(spark, sf)
@@ -65,6 +80,7 @@ def header_repair_drop(spark: SparkSession, sf: str) -> DataFrame:
     return repair_header(read_delimited(spark, path, EXPORT), "InvoiceId")
 
 
+@query
 def header_repair_legacy(spark: SparkSession, sf: str) -> DataFrame:
     """Any other first name is taken for the key."""
     raw = E.raw_order_keys(spark, sf).select(F.col("InvoiceId").alias("Nr"), "CustomerKey", "OGM")
@@ -75,12 +91,14 @@ def header_repair_legacy(spark: SparkSession, sf: str) -> DataFrame:
 # Tables
 
 
+@query
 def table_scan(spark: SparkSession, sf: str) -> DataFrame:
     name = E.table_name(spark, sf, "scanned")
     _overwrite(spark, sf, E.invoices(spark, sf), name)
     return tables.table_scan(spark, name)
 
 
+@query
 def describe_schema(spark: SparkSession, sf: str) -> DataFrame:
     return tables.describe(E.table(spark, sf, "orders"))
 
@@ -89,6 +107,7 @@ def _overwrite(spark: SparkSession, sf: str, df: DataFrame, name: str, **options
     return tables.overwrite_table(df, name, path=f"{E.shared_folder(spark)}/tables/{name}", **options)
 
 
+@query
 def overwrite_table(spark: SparkSession, sf: str) -> DataFrame:
     """Written twice: only the second content remains."""
     name = E.table_name(spark, sf, "overwritten")
@@ -96,6 +115,7 @@ def overwrite_table(spark: SparkSession, sf: str) -> DataFrame:
     return _overwrite(spark, sf, E.lines(spark, sf), name)
 
 
+@query
 def overwrite_schema(spark: SparkSession, sf: str) -> DataFrame:
     """The second frame has other columns; they replace the first ones."""
     name = E.table_name(spark, sf, "reshaped")
@@ -103,12 +123,14 @@ def overwrite_schema(spark: SparkSession, sf: str) -> DataFrame:
     return _overwrite(spark, sf, E.invoices(spark, sf), name)
 
 
+@query
 def bounded_files(spark: SparkSession, sf: str) -> DataFrame:
     name = E.table_name(spark, sf, "bounded")
     written = _overwrite(spark, sf, E.lines(spark, sf), name, max_records_per_file=MAX_RECORDS_PER_FILE, rebalance=True)
     return tables.oversized_files(written, MAX_RECORDS_PER_FILE)
 
 
+@query
 def readback_count(spark: SparkSession, sf: str) -> DataFrame:
     name = E.table_name(spark, sf, "counted")
     return tables.row_count(_overwrite(spark, sf, E.lines(spark, sf), name))
@@ -117,39 +139,48 @@ def readback_count(spark: SparkSession, sf: str) -> DataFrame:
 # Projections, cleaning, filters
 
 
+@query
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     return clean_columns(E.table(spark, sf, "documents"), ["text", "lang", "source"])
 
 
+@query
 def type_invoices(spark: SparkSession, sf: str) -> DataFrame:
     return apply_spec(clean_columns(E.raw_invoices(spark, sf)), I.INVOICES)
 
 
+@query
 def type_lines(spark: SparkSession, sf: str) -> DataFrame:
     return apply_spec(clean_columns(E.raw_lines(spark, sf)), I.LINES)
 
 
+@query
 def type_lines_altkey(spark: SparkSession, sf: str) -> DataFrame:
     raw = clean_columns(E.raw_lines(spark, sf, key="InvoiceNumber"))
-    return apply_spec(raw, spec_for(raw.columns, I.LINES, I.LINK))
+    return apply_spec(raw, link.spec_for(raw.columns, I.LINES, I.LINK))
 
 
-def project_existing_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return project_existing(E.raw_lines(spark, sf, key="InvoiceNumber"), I.LINE_SAMPLE)
+@query
+def project_existing(spark: SparkSession, sf: str) -> DataFrame:
+    return project.project_existing(E.raw_lines(spark, sf, key="InvoiceNumber"), I.LINE_SAMPLE)
 
 
-def project_subset_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return project_subset(E.raw_order_keys(spark, sf), I.INVOICE_SAMPLE)
+@query
+def project_subset(spark: SparkSession, sf: str) -> DataFrame:
+    return project.project_subset(E.raw_order_keys(spark, sf), I.INVOICE_SAMPLE)
 
 
+@query
 def blank_key_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.blank_key_profile(E.raw_order_keys(spark, sf), I.INVOICES.required)
 
 
+@query
 def blank_line_key_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.blank_key_profile(E.raw_lines(spark, sf, key="InvoiceNumber"), I.RAW_LINE_KEYS)
 
 
+@query
 def null_rows(spark: SparkSession, sf: str) -> DataFrame:
     return profile.null_rows(E.invoices(spark, sf), "InvoiceDate").select("InvoiceId", "CustomerKey")
 
@@ -164,14 +195,16 @@ def _numbered_parents(spark: SparkSession, sf: str, repeated: bool = False) -> D
 
 def _linked(spark: SparkSession, sf: str, key: str) -> DataFrame:
     raw = clean_columns(E.raw_lines(spark, sf, key=key))
-    typed = apply_spec(raw, spec_for(raw.columns, I.LINES, I.LINK))
-    return link_to_parent(typed, _numbered_parents(spark, sf), I.LINES, I.LINK)
+    typed = apply_spec(raw, link.spec_for(raw.columns, I.LINES, I.LINK))
+    return link.link_to_parent(typed, _numbered_parents(spark, sf), I.LINES, I.LINK)
 
 
+@query
 def link_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _linked(spark, sf, "InvoiceId")
 
 
+@query
 def link_lines_altkey(spark: SparkSession, sf: str) -> DataFrame:
     return _linked(spark, sf, "InvoiceNumber")
 
@@ -183,21 +216,25 @@ def _numbered_lines(spark: SparkSession, sf: str) -> DataFrame:
     return typed.select(number.alias("InvoiceNumber"), "InvoiceLineId", "UnitPrice", "StartDate")
 
 
-def lookup_fan_out(spark: SparkSession, sf: str) -> DataFrame:
+@query
+def lookup_left(spark: SparkSession, sf: str) -> DataFrame:
     """Repeated invoice numbers multiply their lines."""
-    return lookup_left(_numbered_lines(spark, sf), _numbered_parents(spark, sf, repeated=True), I.LINK)
+    return link.lookup_left(_numbered_lines(spark, sf), _numbered_parents(spark, sf, repeated=True), I.LINK)
 
 
-def lookup_smallest(spark: SparkSession, sf: str) -> DataFrame:
+@query
+def lookup_left_min(spark: SparkSession, sf: str) -> DataFrame:
     parents = _numbered_parents(spark, sf, repeated=True)
-    return lookup_left(_numbered_lines(spark, sf), parents, I.LINK, on_duplicate="min")
+    return link.lookup_left(_numbered_lines(spark, sf), parents, I.LINK, on_duplicate="min")
 
 
+@query
 def anti_parents(spark: SparkSession, sf: str) -> DataFrame:
     invoices = E.invoices(spark, sf).select("InvoiceId", "CustomerKey", "InvoiceDate")
     return integrity.anti_parents(invoices, E.lines(spark, sf), "InvoiceId")
 
 
+@query
 def anti_orphans(spark: SparkSession, sf: str) -> DataFrame:
     lines = E.lines(spark, sf, lost_parents=True).select("InvoiceId", "InvoiceLineId", "Quantity")
     return integrity.anti_orphans(lines, E.invoices(spark, sf), "InvoiceId")
@@ -206,35 +243,43 @@ def anti_orphans(spark: SparkSession, sf: str) -> DataFrame:
 # Aggregations
 
 
+@query
 def row_count(spark: SparkSession, sf: str) -> DataFrame:
     return tables.row_count(E.lines(spark, sf))
 
 
+@query
 def count_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return report.count_by_year(E.invoices(spark, sf), "InvoiceDate")
 
 
+@query
 def agg_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return report.agg_by_year(E.invoices(spark, sf), "InvoiceDate", "CustomerKey")
 
 
+@query
 def count_by_country(spark: SparkSession, sf: str) -> DataFrame:
     return report.count_by_category(E.invoice_countries(spark, sf), "BillingCountryCode")
 
 
+@query
 def date_range(spark: SparkSession, sf: str) -> DataFrame:
     return profile.value_range(E.invoices(spark, sf), "InvoiceDate")
 
 
+@query
 def raw_range(spark: SparkSession, sf: str) -> DataFrame:
     """Text order, as the raw values compare."""
     return profile.value_range(E.raw_order_keys(spark, sf), "InvoiceDate")
 
 
+@query
 def multi_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return profile.distinct_counts(E.invoices(spark, sf), ["InvoiceId", "CustomerKey", "ProviderId"])
 
 
+@query
 def line_stats(spark: SparkSession, sf: str) -> DataFrame:
     stats = report.child_stats(
         E.lines(spark, sf), "InvoiceId", "Quantity", "TaxPercentage", "StartDate", "EndDate"
@@ -242,18 +287,22 @@ def line_stats(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(stats, "avg_tax")
 
 
+@query
 def invoice_summary(spark: SparkSession, sf: str) -> DataFrame:
     return report.parent_summary(E.invoices(spark, sf), "InvoiceDate", I.DISTINCT_INVOICE_COLUMNS)
 
 
+@query
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.null_profile(apply_spec(clean_columns(E.raw_invoices(spark, sf)), I.INVOICES))
 
 
+@query
 def key_null_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.key_null_profile(E.invoices(spark, sf), I.INVOICES.required)
 
 
+@query
 def line_key_null_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.key_null_profile(E.lines(spark, sf), I.LINES.required)
 
@@ -261,33 +310,39 @@ def line_key_null_profile(spark: SparkSession, sf: str) -> DataFrame:
 # Sort, limit, samples
 
 
+@query
 def top_countries(spark: SparkSession, sf: str) -> DataFrame:
     return report.top_categories(E.invoice_countries(spark, sf), "BillingCountryCode", k=10)
 
 
+@query
 def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
-    invoices = project_subset(E.invoices(spark, sf), ["InvoiceId", "InvoiceNumber", "InvoiceDate", "Currency"])
+    invoices = project.project_subset(E.invoices(spark, sf), ["InvoiceId", "InvoiceNumber", "InvoiceDate", "Currency"])
     return report.sample_rows(invoices, 10, order_by=["InvoiceId"])
 
 
 # Scalar functions over whole columns
 
 
+@query
 def parse_decimal(spark: SparkSession, sf: str) -> DataFrame:
     raw = E.raw_order_keys(spark, sf)
     return raw.select("InvoiceId", text.decimal_point(F.col("TaxPercentage")).alias("value"))
 
 
+@query
 def strip_time(spark: SparkSession, sf: str) -> DataFrame:
     raw = E.raw_order_keys(spark, sf)
     return raw.select("InvoiceId", text.strip_time(F.col("InvoiceDate")).alias("value"))
 
 
+@query
 def parse_date(spark: SparkSession, sf: str) -> DataFrame:
     raw = E.raw_order_keys(spark, sf)
     return raw.select("InvoiceId", text.parse_date(F.col("InvoiceDate")).alias("value"))
 
 
+@query
 def to_long(spark: SparkSession, sf: str) -> DataFrame:
     """Integers, fractions cut toward zero, and text that is no number."""
     raw = E.raw_order_keys(spark, sf)
@@ -300,6 +355,7 @@ def to_long(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
 def to_double(spark: SparkSession, sf: str) -> DataFrame:
     raw = E.raw_lines(spark, sf)
     return raw.select(
@@ -309,6 +365,7 @@ def to_double(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
 def grouped_decimal(spark: SparkSession, sf: str) -> DataFrame:
     """Thousands dots: null by default, parsed when the separator is declared."""
     price = F.format_number("o_totalprice", 2)
@@ -321,10 +378,12 @@ def grouped_decimal(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
 def date_format_trial(spark: SparkSession, sf: str) -> DataFrame:
     return profile.date_format_trial(E.raw_order_keys(spark, sf), "InvoiceDate")
 
 
+@query
 def raw_length_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.raw_length_profile(E.raw_order_keys(spark, sf), "InvoiceDate")
 
@@ -332,12 +391,14 @@ def raw_length_profile(spark: SparkSession, sf: str) -> DataFrame:
 # Verdicts and the whole run
 
 
+@query
 def parse_failures(spark: SparkSession, sf: str) -> DataFrame:
     return profile.parse_failures(E.invoices(spark, sf), ["InvoiceDate", "CustomerKey"]).unionAll(
         profile.parse_failures(_numbered_lines(spark, sf), ["InvoiceNumber"])
     )
 
 
+@query
 def count_parity(spark: SparkSession, sf: str) -> DataFrame:
     return integrity.count_parity(E.invoices(spark, sf), E.lines(spark, sf))
 
@@ -346,6 +407,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
+@query
 def match_rates(spark: SparkSession, sf: str) -> DataFrame:
     balance = integrity.key_balance(
         E.invoices(spark, sf), E.lines(spark, sf, lost_parents=True), "InvoiceId"
@@ -353,6 +415,7 @@ def match_rates(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(integrity.with_match_rates(balance), "parent_match_pct", "child_match_pct")
 
 
+@query
 def integrity_status(spark: SparkSession, sf: str) -> DataFrame:
     """The tables as they are, with lost parents, and with only the invoices that have lines."""
     invoices, lines = E.invoices(spark, sf), E.lines(spark, sf)
@@ -370,6 +433,7 @@ def integrity_status(spark: SparkSession, sf: str) -> DataFrame:
     return rows[0].unionAll(rows[1]).unionAll(rows[2])
 
 
+@query
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     row = job.run_summary(E.invoices(spark, sf), E.lines(spark, sf), I.LINK)
     return _rounded(row, "avg_tax", "parent_match_pct", "child_match_pct")
@@ -391,42 +455,21 @@ def job_config(spark: SparkSession, sf: str, line_key: str = "InvoiceId") -> Job
     )
 
 
+@query
 def full_run(spark: SparkSession, sf: str) -> DataFrame:
     result = job.run(spark, job_config(spark, sf))
     return _rounded(result.summary, "avg_tax", "parent_match_pct", "child_match_pct")
 
 
+@query
 def full_run_altkey(spark: SparkSession, sf: str) -> DataFrame:
     """The run on lines without parent keys: linked by number against the written headers."""
     result = job.run(spark, job_config(spark, sf, "InvoiceNumber"))
     return _rounded(result.summary, "avg_tax", "parent_match_pct", "child_match_pct")
 
 
+@query
 def full_run_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The line table a run writes."""
     return job.run(spark, job_config(spark, sf)).children
 
-
-# Names by operator, where the function name differs.
-RENAMED = {
-    "project_existing": project_existing_columns,
-    "project_subset": project_subset_columns,
-    "lookup_left": lookup_fan_out,
-    "lookup_left_min": lookup_smallest,
-}
-
-NAMED_ALIKE = (
-    scan_delimited, scan_split, scan_permissive, header_repair, header_repair_drop, header_repair_legacy,
-    table_scan, describe_schema, overwrite_table, overwrite_schema, bounded_files, readback_count,
-    clean_text, type_invoices, type_lines, type_lines_altkey, blank_key_profile, blank_line_key_profile,
-    null_rows, link_lines, link_lines_altkey, anti_parents, anti_orphans, row_count, count_by_year,
-    agg_by_year, count_by_country, date_range, raw_range, multi_distinct, line_stats, invoice_summary,
-    null_profile, key_null_profile, line_key_null_profile, top_countries, sample_rows, parse_decimal,
-    strip_time, parse_date, to_long, to_double, grouped_decimal, date_format_trial, raw_length_profile,
-    parse_failures, count_parity, match_rates, integrity_status, run_summary, full_run, full_run_altkey,
-    full_run_lines,
-)
-
-
-def queries() -> dict:
-    return {f.__name__: f for f in NAMED_ALIKE} | RENAMED
