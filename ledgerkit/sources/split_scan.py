@@ -13,6 +13,7 @@ record grammar and the query fails on the first one that does not fit, naming th
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,13 +46,20 @@ def _pinned_session(spark: SparkSession) -> SparkSession:
 def physical_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with the split they lie in and a number that grows along each split."""
     text = _pinned_session(spark).read.option("lineSep", "\n").text(path)
-    return text.select(
+    lines = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.col("_metadata.file_block_length").alias("size"),
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
+    # Through a view, what is built on the pinned scan belongs to the caller's session again.
+    view = f"lines_{uuid.uuid4().hex}"
+    lines.createGlobalTempView(view)
+    try:
+        return spark.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{view}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
 
 
 def split_states(lines: DataFrame, quote: str) -> DataFrame:

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from ledgerkit.sources import split_scan
 from ledgerkit.sources.delimited import read_delimited
+from ledgerkit.sources.tables import overwrite_table
 from ledgerkit.spec import Dialect
 
 SPLIT = Dialect(split=True)
@@ -15,11 +16,9 @@ SPLIT = Dialect(split=True)
 def tiny_splits(spark):
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
-    cost = spark.conf.get("spark.sql.files.openCostInBytes")
     spark.conf.set(key, "64")
     yield
     spark.conf.set(key, before)
-    spark.conf.set("spark.sql.files.openCostInBytes", cost)
 
 
 def rows(df):
@@ -102,3 +101,24 @@ def test_files_must_carry_the_same_header(spark, write_file):
     first, second = write_file("A;B\n1;2\n", "1.csv"), write_file("B;A\n3;4\n", "2.csv")
     with pytest.raises(Exception, match="another header"):
         read_delimited(spark, [first, second], SPLIT).collect()
+
+
+def test_result_belongs_to_the_callers_session(spark, write_file):
+    df = read_delimited(spark, write_file("A;B\n1;2\n"), SPLIT)
+    assert df._jdf.sparkSession().equals(spark._jsparkSession)
+
+
+def test_later_settings_do_not_move_the_splits(spark, tiny_splits, write_file):
+    path = write_file(as_csv([[str(i), "a\nb", "c"] for i in range(200)]))
+    df = read_delimited(spark, path, SPLIT)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    assert rows(df) == rows(read_delimited(spark, path))
+
+
+def test_overwritten_table_is_read_afresh(spark, tmp_path, write_file):
+    name, path = "lk_test_split_table", str(tmp_path / "table")
+    for body in ("1;2", "3;4"):
+        df = read_delimited(spark, write_file(f"A;B\n{body}\n"), SPLIT)
+        assert [";".join(r) for r in overwrite_table(df, name, path=path).collect()] == [body]
+        assert [";".join(r) for r in spark.table(name).collect()] == [body]
+    spark.sql(f"drop table {name}")
