@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerkit.operators.project import quoted
+from ledgerkit.operators.profile import distinct_counts
+from ledgerkit.operators.project import quoted, stitch_single_rows
 
 
 def _year(date_column: str) -> Column:
@@ -45,22 +46,22 @@ def sample_rows(df: DataFrame, n: int = 5, order_by: list[str] | None = None) ->
 
 
 def parent_summary(df: DataFrame, date_column: str, distinct: dict[str, str]) -> DataFrame:
-    """Row count, date range and distinct counts (output name to column) in one aggregation."""
-    return df.agg(
+    """Row count, date range and distinct counts (output name to column), as one row."""
+    totals = df.agg(
         F.count("*").alias("total_parents"),
         F.min(quoted(date_column)).alias("min_date"),
         F.max(quoted(date_column)).alias("max_date"),
-        *[F.countDistinct(quoted(column)).alias(name) for name, column in distinct.items()],
     )
+    return stitch_single_rows(totals, distinct_counts(df, distinct))
 
 
 def child_stats(df: DataFrame, key: str, quantity: str, tax: str, start: str, end: str) -> DataFrame:
-    """Row count, distinct parents, quantity total, mean tax rate and date span in one aggregation."""
-    return df.agg(
+    """Row count, distinct parents, quantity total, mean tax rate and date span, as one row."""
+    totals = df.agg(
         F.count("*").alias("total_children"),
-        F.countDistinct(quoted(key)).alias("distinct_parents"),
         F.sum(quoted(quantity)).alias("total_quantity"),
         F.avg(quoted(tax)).alias("avg_tax"),
         F.min(quoted(start)).alias("min_start"),
         F.max(quoted(end)).alias("max_end"),
     )
+    return stitch_single_rows(totals, distinct_counts(df, {"distinct_parents": key}))

@@ -85,18 +85,16 @@ def run_summary(invoices: DataFrame, lines: DataFrame, link: ParentLink) -> Data
     Distinct invoice keys come out of the key balance, which groups them anyway.
     """
     others = {name: c for name, c in DISTINCT_INVOICE_COLUMNS.items() if c != link.key}
-    header = invoices.agg(
-        F.min("InvoiceDate").alias("min_date"),
-        F.max("InvoiceDate").alias("max_date"),
-        *[F.countDistinct(c).alias(name) for name, c in others.items()],
-    )
+    header = invoices.agg(F.min("InvoiceDate").alias("min_date"), F.max("InvoiceDate").alias("max_date"))
     body = lines.agg(
         F.sum("Quantity").alias("total_quantity"),
         F.avg("TaxPercentage").alias("avg_tax"),
         F.min("StartDate").alias("min_start"),
         F.max("EndDate").alias("max_end"),
     )
-    row = stitch_single_rows(integrity.key_balance(invoices, lines, link.key), header, body)
+    row = stitch_single_rows(
+        integrity.key_balance(invoices, lines, link.key), header, profile.distinct_counts(invoices, others), body
+    )
     return integrity.with_integrity_status(integrity.with_count_parity(integrity.with_match_rates(row)))
 
 

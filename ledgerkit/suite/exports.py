@@ -19,7 +19,7 @@ BLANK_DATE_EVERY = 97
 NO_COUNTRY_EVERY = 53
 LOST_PARENT_EVERY = 10
 LOST_PARENT_OFFSET = 1_000_000_000_000
-REPEATED_NUMBERS = 14_000
+REPEATED_NUMBER_EVERY = 15
 
 _written: set[str] = set()
 

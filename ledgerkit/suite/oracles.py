@@ -8,7 +8,7 @@ from ledgerkit.suite.exports import (
     LOST_PARENT_OFFSET,
     NO_COUNTRY_EVERY,
     NUMBER_OFFSET,
-    REPEATED_NUMBERS,
+    REPEATED_NUMBER_EVERY,
 )
 
 RAW_DATE = (
@@ -71,7 +71,8 @@ NUMBERED_LINES = f"""numbered_lines as (
     "InvoiceLineId", "UnitPrice", "StartDate" from lines)"""
 
 REPEATED_PARENTS = f"""parents as (
-  select "InvoiceId", "InvoiceId" % {REPEATED_NUMBERS} + {NUMBER_OFFSET} as "InvoiceNumber" from invoices)"""
+  select "InvoiceId", {NUMBER_OFFSET} + case when "InvoiceId" % {REPEATED_NUMBER_EVERY} = 0
+    then "InvoiceId" - 1 else "InvoiceId" end as "InvoiceNumber" from invoices)"""
 
 BALANCE = """balance as (
   select (select count(*) from invoices) as total_parents, (select count(*) from lines) as total_children,
@@ -219,9 +220,9 @@ def oracle_sql() -> dict[str, str]:
             from invoices""",
         "raw_range": f"""with {RAW_KEYS} select min("InvoiceDate") as min_value, max("InvoiceDate") as max_value
             from raw""",
-        "multi_distinct": f"""with {INVOICES} select count(distinct "InvoiceId") as "distinct_InvoiceId",
-            count(distinct "CustomerKey") as "distinct_CustomerKey",
-            count(distinct "ProviderId") as "distinct_ProviderId" from invoices""",
+        "multi_distinct": f"""with {INVOICES} select count(distinct "InvoiceId") as distinct_invoices,
+            count(distinct "CustomerKey") as distinct_customers,
+            count(distinct "ProviderId") as distinct_providers from invoices""",
         "line_stats": f"""with {LINES} select count(*) as total_children,
             count(distinct "InvoiceId") as distinct_parents, sum("Quantity") as total_quantity,
             round(avg("TaxPercentage"), 9) as avg_tax, min("StartDate") as min_start, max("EndDate") as max_end

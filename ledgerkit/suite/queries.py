@@ -189,7 +189,10 @@ def null_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _numbered_parents(spark: SparkSession, sf: str, repeated: bool = False) -> DataFrame:
-    number = F.col("InvoiceId") % E.REPEATED_NUMBERS if repeated else F.col("InvoiceId")
+    """Header keys and numbers; with ``repeated`` some headers carry the number of the one before."""
+    number = F.col("InvoiceId")
+    if repeated:
+        number = F.when(number % E.REPEATED_NUMBER_EVERY == 0, number - 1).otherwise(number)
     return E.invoices(spark, sf).select("InvoiceId", (number + E.NUMBER_OFFSET).alias("InvoiceNumber"))
 
 
@@ -276,7 +279,7 @@ def raw_range(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def multi_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.distinct_counts(E.invoices(spark, sf), ["InvoiceId", "CustomerKey", "ProviderId"])
+    return profile.distinct_counts(E.invoices(spark, sf), I.DISTINCT_INVOICE_COLUMNS)
 
 
 @query

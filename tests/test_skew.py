@@ -29,7 +29,8 @@ def eager_skew(spark):
 def third_each(spark):
     """A third of the rows share one key, a third have none."""
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).cast("bigint")
-    return spark.range(0, ROWS, 1, 8).select(key.alias("InvoiceNumber"), F.col("id").alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    filler = F.sha2(F.col("id").cast("string"), 256).alias("t")
+    return spark.range(0, ROWS, 1, 8).select(key.alias("InvoiceNumber"), F.col("id").alias("n"), filler)
 
 
 def final_plan(df):
@@ -38,7 +39,8 @@ def final_plan(df):
 
 
 def test_lookup_splits_a_hot_number(spark, eager_skew, third_each):
-    parents = spark.range(0, ROWS, 1, 8).select((F.col("id") + 10**6).alias("InvoiceId"), F.col("id").alias("InvoiceNumber"))
+    numbers = spark.range(0, ROWS, 1, 8).withColumnRenamed("id", "InvoiceNumber")
+    parents = numbers.withColumn("InvoiceId", F.col("InvoiceNumber") + 10**6)
     joined = lookup_left(third_each, parents, LINK)
     assert "SortMergeJoin(skew=true)" in final_plan(joined)
     row = joined.agg(F.count("*"), F.count("InvoiceId"), F.countDistinct("n")).first()
