@@ -4,14 +4,16 @@ import __spark_entry__ as entry
 from conftest import SMALL
 from ledgerkit.operators.project import apply_spec, clean_columns
 from ledgerkit.plans.invoices import INVOICES, LINES
-from ledgerkit.suite import exports
+from ledgerkit.suite import exports, oracles, queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.QUERIES, oracles.oracle_sql()
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE"}
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
