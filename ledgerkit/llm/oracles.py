@@ -2,4 +2,22 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+LINE_DEDUP = """
+with docs as (
+  select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), lines as (
+  select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as n from docs
+), keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines
+), repeated as (
+  select key, max(doc_id) as keeper from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+), judged as (
+  select k.*, r.key is not null and k.doc_id <> r.keeper as gone from keyed k left join repeated r using (key)
+)
+select doc_id, count(*)::bigint as n_lines, (count(*) filter (gone))::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by n) filter (not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+ORACLES: dict[str, str] = {"op7_line_dedup": LINE_DEDUP}

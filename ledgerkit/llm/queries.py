@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerkit.llm import grammar, packing
+from ledgerkit.llm import grammar, linededup, neardup, packing, quality
 from ledgerkit.llm.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.classify(docs, table(spark, sf_dir, "labels"), threshold=0.3)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@register
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+@register
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @register
 def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "shards")
