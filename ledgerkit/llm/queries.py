@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.llm import grammar, linededup, neardup, packing, quality
+from ledgerkit.llm import decontaminate, grammar, linededup, neardup, packing, quality
 from ledgerkit.llm.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,14 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+@register
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents: a row for each benchmark item a document holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("matches"))
+
+
 @register
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)

@@ -6,6 +6,7 @@ A word is a run of bytes other than ASCII white space, with A-Z lower-cased.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -14,12 +15,14 @@ import pyarrow.compute as pc
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SLICE_BYTES = 4_000_000
+TILE = 1 << 20
 
 _code = np.arange(256)
 IS_SPACE = (_code == 0x20) | ((_code >= 0x09) & (_code <= 0x0D))
 LOWER = np.where((_code >= 0x41) & (_code <= 0x5A), _code + 0x20, _code).astype(np.uint8)
-#: What a byte adds to its word's hash; white space adds nothing.
-VALUE = np.where(IS_SPACE, 0, LOWER.astype(np.uint64) + np.uint64(1)).astype(np.uint64)
+#: For words without marks: every ASCII byte that is no letter or digit ends a word.
+IS_MARK = (_code < 0x80) & ~np.array([chr(c).isalnum() for c in range(128)] + [False] * 128)
+VALUE = LOWER.astype(np.uint64) + np.uint64(1)
 
 
 class Words(NamedTuple):
@@ -45,25 +48,55 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse modulo 2**64."""
+    out = []
+    for base in (BASE, np.uint64(pow(int(BASE), -1, 1 << 64))):
+        p = np.full(size, base)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    return out[0], out[1]
+
+
+def _tiles(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of about TILE bytes that begin and end between words; ``ends``: the bytes that end a word."""
+    lo = 0
+    while lo < len(ends):
+        hi = min(lo + TILE, len(ends))
+        if hi < len(ends):
+            back = int(ends[lo:hi][::-1].argmax())
+            hi = hi - back if ends[hi - back - 1] else hi + int(np.append(ends[hi:], True).argmax())
+        yield lo, hi
+        lo = hi
+
+
+def words(data: np.ndarray, offsets: np.ndarray, ends: np.ndarray = IS_SPACE) -> Words:
+    """``ends``: which of the 256 bytes end a word.
+
+    A word's hash is the polynomial of its bytes, taken from running sums and freed of its place in the buffer.
+    """
     if not len(data):
         return Words(np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), np.empty(0, np.int64))
-    inside = ~IS_SPACE[data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    edge = offsets[:-1][offsets[:-1] < len(data)]
+    over = ends[data]
+    inside = ~over
+    begins, stops = inside.copy(), inside.copy()
+    begins[1:] &= over[:-1]
+    stops[:-1] &= over[1:]
+    edge = offsets[1:-1][offsets[1:-1] < len(data)]
     begins[edge] = inside[edge]
-    at = np.flatnonzero(begins)
+    edge = edge[edge > 0] - 1
+    stops[edge] = inside[edge]
+    at, last = np.flatnonzero(begins), np.flatnonzero(stops)
     bounds = np.searchsorted(at, offsets)
-    if not len(at):
-        return Words(np.empty(0, np.uint64), bounds, at)
-    span = np.diff(np.append(at, len(data)))
-    place = np.arange(at[0], len(data)) - np.repeat(at, span)
-    powers = np.empty(int(span.max()), np.uint64)
-    powers[0] = 1
-    powers[1:] = BASE
-    np.cumprod(powers, out=powers)
-    hashes = np.add.reduceat(VALUE[data[at[0] :]] * powers[place], at - at[0])
+    hashes = np.empty(len(at), np.uint64)
+    for lo, hi in _tiles(over):
+        size = max(TILE, 1 << (hi - lo - 1).bit_length())
+        power, inverse = _powers(size)
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(VALUE[data[lo:hi]] * power[: hi - lo], out=sums[1:])
+        a, b = np.searchsorted(at, (lo, hi))
+        hashes[a:b] = (sums[last[a:b] + 1 - lo] - sums[at[a:b] - lo]) * inverse[at[a:b] - lo]
     return Words(mix(hashes), bounds, at)
 
 
