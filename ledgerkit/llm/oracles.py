@@ -20,4 +20,26 @@ select doc_id, count(*)::bigint as n_lines, (count(*) filter (gone))::bigint as
 from judged group by doc_id
 """
 
-ORACLES: dict[str, str] = {"op7_line_dedup": LINE_DEDUP}
+URL_RULES = """
+with rules(rule_host, rule_path, rule_verdict) as (
+  values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), rests as (
+  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+), cut as (
+  select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw_host from rests
+), parsed as (
+  select row_number() over () as n, page_id,
+    translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') as path
+  from cut
+), fits as (
+  select p.*, r.rule_host || r.rule_path as rule, r.rule_verdict,
+    row_number() over (partition by n order by length(r.rule_host || r.rule_path) desc nulls last) as place
+  from parsed p left join rules r
+    on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)
+)
+select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict from fits where place = 1
+"""
+
+ORACLES: dict[str, str] = {"op6_url_rules": URL_RULES, "op7_line_dedup": LINE_DEDUP}

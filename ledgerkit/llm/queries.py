@@ -8,9 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.llm import decontaminate, grammar, linededup, neardup, packing, quality
+from ledgerkit.llm import decontaminate, grammar, linededup, neardup, packing, quality, urlrules
 from ledgerkit.llm.scratch import scratch_path
 
+#: The rules of the URL query.
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -43,6 +49,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.inline("matches"))
 
 
+@register
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlrules.judge_urls(pages, urlrules.rules_frame(spark, URL_RULES)).drop("url")
+
+
 @register
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)
