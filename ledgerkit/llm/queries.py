@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.llm import decontaminate, grammar, linededup, neardup, packing, quality, urlrules
+from ledgerkit.llm import ann, decontaminate, grammar, linededup, neardup, packing, quality, urlrules
 from ledgerkit.llm.scratch import scratch_path
 
 #: The rules of the URL query.
@@ -36,6 +36,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+@register
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @register
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
