@@ -10,8 +10,9 @@ rest, ordered from rare to frequent, only as many are listed as it takes to meet
 passage that thousands of documents hold therefore fills no list, unless it is most of their text.
 
 Which pairs are compared: members of a list with the list's pivot first. Links make components; then members of one
-list that are still in different components are compared with each other. Pairs inside a component need no comparison,
-so a group of copies costs about one comparison for each, and no link that joins two components is lost.
+pivot that are still in different components are compared with each other, block by block, inside the tasks. Groups
+that are one component after the first step need no more, so a group of copies costs about one comparison for each,
+no pairs are sent out, and no link that joins two components is lost.
 
 Cases: a text without words, or null, has an empty set, is linked with nothing and kept; null ``doc_id`` likewise, with
 null component; rows that repeat a ``doc_id`` are judged each by its own text; other columns are not read; an empty
@@ -35,6 +36,8 @@ from ledgerkit.llm.words import buffers, mix, shingles, text_slices, words
 
 #: Retained values, and the share of them on which a pair at the threshold of 0.8 agrees but for 1 in 30,000.
 K, AGREE = 64, 0.6
+#: A block's bytes and sets; values in at most RARE sets of a block are counted pair by pair.
+BLOCK_BYTES, BLOCK_ROWS, RARE = 4_000_000, 512, 6
 
 SKETCH_DDL = "doc_id long, n long, f1 long, f2 long, sketch array<long>"
 SET_DDL = "node long, f1 long, n long, items binary"
@@ -141,17 +144,86 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     )
     found = stored(similar(tried, nodes, sets, percent), "links")
 
+    # what a list holds beside its pivot was tried with that pivot: unlinked members of a list share a pivot's members
     labels = components(found)
-    member = listed.join(labels, "node", "left").select(
-        "value", "node", "n", F.coalesce("component", "node").alias("component")
-    )
-    mixed = member.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    member = stored(member.join(mixed.select("value"), "value", "left_semi"), "members")
-    left = member.select("value", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of_a"))
-    right = member.select("value", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b"))
-    rest = left.join(right, "value").filter("a < b and of_a <> of_b").filter(_sizes_allow(percent, "n_a", "n_b"))
-    rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    return found.unionByName(stored(similar(stored(rest, "pairs"), nodes, sets, percent), "links"))
+    pivot = F.explode(F.array("a", "b")).alias("node")
+    member = tried.select(F.col("a").alias("pivot"), pivot).distinct().join(labels, "node", "left")
+    member = member.select("pivot", "node", F.coalesce("component", "node").alias("component"))
+    mixed = member.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    member = member.join(mixed.select("pivot"), "pivot", "left_semi")
+    return found.unionByName(stored(compared(member, sets, percent), "links"))
+
+
+def compared(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members (pivot, node, component) of a pivot that are in different components.
+
+    A pivot's members are dealt into blocks of bounded size, and every two blocks meet in one task, which sends out no
+    more links than it takes to join their components.
+    """
+    size = F.ceil(F.greatest(F.sum("bytes") / BLOCK_BYTES, F.count("*") / BLOCK_ROWS)).cast("int")
+    rows = member.join(sets.select("node", F.col("n").alias("bytes")), "node").withColumn("bytes", F.col("bytes") * 8)
+    blocks = rows.groupBy("pivot").agg(size.alias("blocks"))
+    rows = rows.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("pivot", "node", "component", "block", other)
+    rows = rows.select(
+        "pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component"
+    ).join(sets.select("node", "items"), "node")
+
+    def links_of(key: tuple, table: pa.Table) -> pa.Table:
+        return _links_between(table, percent)
+
+    return rows.groupBy("pivot", "i", "j").applyInArrow(links_of, "a long, b long")
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of a block's sets."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    every = np.concatenate(sets)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+    often = np.diff(np.append(first, len(every)))
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    rare = (often > 1) & (often <= RARE)
+    for r in range(2, RARE + 1):  # of values that few sets have, their pairs one by one
+        at = first[rare & (often == r)]
+        for x in range(r):
+            for y in range(x):
+                np.add.at(total, (owner[at + x], owner[at + y]), 1)
+                np.add.at(total, (owner[at + y], owner[at + x]), 1)
+    frequent = np.flatnonzero(often > RARE)
+    for c in range(0, len(frequent), 4096):  # of the others, as products of matrices
+        part = frequent[c : c + 4096]
+        column = np.repeat(np.arange(len(part)), often[part])
+        at = np.arange(len(column)) - np.repeat(np.cumsum(often[part]) - often[part], often[part]) + first[part][column]
+        held = np.zeros((len(sets), len(part)), np.float32)
+        held[owner[at], column] = 1
+        total += held @ held.T
+    return total
+
+
+def _links_between(table: pa.Table, percent: int) -> pa.Table:
+    node, of = table.column("node").to_numpy(), table.column("component").to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("items")]
+    size = np.array([len(x) for x in sets])
+    both = overlaps(sets).astype(np.int64)
+    linked = np.triu(100 * both >= percent * (size[:, None] + size - both), 1) & (of[:, None] != of)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            x = up
+        return x
+
+    kept = []
+    for i, j in np.argwhere(linked):
+        x, y = find(int(of[i])), find(int(of[j]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append((i, j))
+    at = np.array(kept, np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(node[at[:, 0]], pa.int64()), "b": pa.array(node[at[:, 1]], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
