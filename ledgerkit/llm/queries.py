@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.llm import ann, decontaminate, grammar, linededup, neardup, packing, quality, urlrules
-from ledgerkit.llm.scratch import scratch_path
+from ledgerkit.llm import ann, decontaminate, grammar, linededup, neardup, packing, quality, toxicity, urlrules
+from ledgerkit.llm.scratch import scratch_path, ship_package
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -21,8 +22,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[query.__name__] = query
-    return query
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    QUERIES[query.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +60,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.inline("matches"))
 
 
+@register
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents found toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.toxic_documents(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "p_toxic", "p_severe", (F.col("p_severe") >= 0.5).cast("int").alias("severe"))
+
+
 @register
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")

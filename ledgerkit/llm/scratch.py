@@ -2,13 +2,42 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerkit.session import shared_folder
 
 
+PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+@lru_cache(maxsize=None)
+def _archive(app_id: str) -> str:
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerkit-code-"), "ledgerkit.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(PACKAGE):
+            for name in (n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                out.write(file, os.path.relpath(file, os.path.dirname(PACKAGE)))
+    return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once for each application: their Python need not have it installed."""
+    _ship(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _ship(app_id: str) -> None:
+    SparkContext.getOrCreate().addPyFile(_archive(app_id))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
