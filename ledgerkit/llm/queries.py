@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.llm import ann, decontaminate, grammar, linededup, neardup, packing, quality, toxicity, urlrules
+from ledgerkit.llm import ann, decontaminate, grammar, licenses, linededup, neardup, packing, quality, toxicity, urlrules
 from ledgerkit.llm.scratch import scratch_path, ship_package
 
 #: The rules of the URL query.
@@ -87,6 +87,13 @@ def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read_documents(spark, path)
 
 
+@register
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no file names: their source and language stand for the directories they lie in."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", "doc_id").alias("path"))
+    return licenses.scan_licenses(docs)
+
+
 @register
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
