@@ -49,6 +49,11 @@ def to_double(value: Column) -> Column:
     return value.try_cast("double")
 
 
+def quoted(name: str) -> Column:
+    """The column of this name, whatever characters it has."""
+    return F.col("`{}`".format(name.replace("`", "``")))
+
+
 def strip_time(value: Column) -> Column:
     return F.regexp_replace(value, TIME_SUFFIX, "")
 
@@ -60,7 +65,7 @@ def parse_date(value: Column, date_format: str = DATE_FORMAT) -> Column:
 
 def typed(spec: ColumnSpec) -> Column:
     """The column expression a ``ColumnSpec`` stands for, aliased to its output name."""
-    value = F.col(f"`{spec.source_name}`")
+    value = quoted(spec.source_name)
     if spec.kind == "text":
         return value.alias(spec.name)
     if spec.kind == "date":

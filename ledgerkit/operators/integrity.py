@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerkit.operators.link import SPREAD, spread_nulls
 from ledgerkit.operators.project import quoted
 
 
 def _unmatched(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
     """Rows whose key the other side lacks. Its keys are made distinct before they move, on the same
-    two columns the join uses, so one shuffle serves both. Every column of ``rows`` is read: select
-    those wanted beforehand."""
-    keys = others.filter(quoted(key).isNotNull()).select(quoted(key), F.xxhash64(quoted(key)).alias(SPREAD))
-    return spread_nulls(rows, key).join(keys.distinct(), [key, SPREAD], "left_anti").drop(SPREAD)
+    column the join uses, so one shuffle serves both. Rows without a key match nothing: they go round the
+    join, and never meet in one task. Every column of ``rows`` is read: select those wanted beforehand."""
+    keys = others.filter(quoted(key).isNotNull()).select(quoted(key)).distinct()
+    keyed = rows.filter(quoted(key).isNotNull()).join(keys, key, "left_anti").select(*map(quoted, rows.columns))
+    return keyed.unionAll(rows.filter(quoted(key).isNull()))
 
 
 def anti_parents(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

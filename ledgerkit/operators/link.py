@@ -9,19 +9,6 @@ from ledgerkit.operators.project import quoted
 from ledgerkit.spec import ColumnSpec, ParentLink, TableSpec
 
 
-SPREAD = "_spread"
-
-
-def spread_nulls(df: DataFrame, key: str) -> DataFrame:
-    """Add a second join key that keeps rows without ``key`` from meeting in one partition.
-
-    Such rows can be a large share of a table and match nothing, but hash alike. The added column is a
-    hash of the key where there is one, so it changes no match, and a hash of the whole row elsewhere.
-    """
-    whole_row = F.xxhash64(*[quoted(c) for c in df.columns])
-    return df.withColumn(SPREAD, F.when(quoted(key).isNull(), whole_row).otherwise(F.xxhash64(quoted(key))))
-
-
 def choose_link(columns: list[str], link: ParentLink) -> str:
     """``direct`` when the key is there, ``lookup`` when only the alternate key is."""
     if link.key in columns:
@@ -42,7 +29,7 @@ def parent_lookup(parents: DataFrame, link: ParentLink, on_duplicate: str = "fan
     """Alternate key to key. Repeated alternate keys multiply the child rows (``fan_out``), are
     settled on the smallest key (``min``), or fail the query (``error``)."""
     number = quoted(link.alternate)
-    pairs = parents.filter(number.isNotNull()).select(quoted(link.key), number, F.xxhash64(number).alias(SPREAD))
+    pairs = parents.filter(number.isNotNull()).select(quoted(link.key), number)
     if on_duplicate == "fan_out":
         return pairs
     smallest = F.min(link.key)
@@ -51,7 +38,7 @@ def parent_lookup(parents: DataFrame, link: ParentLink, on_duplicate: str = "fan
         smallest = F.when(F.count("*") > 1, F.raise_error(clash)).otherwise(smallest)
     elif on_duplicate != "min":
         raise ValueError(f"unknown duplicate rule {on_duplicate!r}")
-    return pairs.groupBy(link.alternate, SPREAD).agg(smallest.alias(link.key))
+    return pairs.groupBy(link.alternate).agg(smallest.alias(link.key))
 
 
 def lookup_left(
@@ -60,11 +47,13 @@ def lookup_left(
     """Left join that fills the key from the alternate key; unmatched children keep a null key.
 
     A hot alternate key is left to the adaptive skew join, which can split the child side of a left
-    join; rows without one are spread by ``spread_nulls``.
+    join; rows without one match nothing and go round the join.
     """
     lookup = parent_lookup(parents, link, on_duplicate)
-    joined = spread_nulls(children, link.alternate).join(lookup, [link.alternate, SPREAD], "left")
-    return joined.select(quoted(link.key), *[quoted(c) for c in children.columns])
+    number, columns = quoted(link.alternate), [quoted(c) for c in children.columns]
+    joined = children.filter(number.isNotNull()).join(lookup, link.alternate, "left").select(quoted(link.key), *columns)
+    no_key = F.lit(None).cast(lookup.schema[link.key].dataType).alias(link.key)
+    return joined.unionAll(children.filter(number.isNull()).select(no_key, *columns))
 
 
 def link_to_parent(

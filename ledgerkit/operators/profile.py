@@ -14,6 +14,7 @@ from ledgerkit.operators.project import quoted, stitch_single_rows
 TWO_DIGIT_HOUR = "d/MM/yyyy HH:mm:ss"
 ANY_HOUR = "d/MM/yyyy H:mm:ss"
 DAY_ONLY = "d/MM/yyyy"
+MIDNIGHT = " 0:00:00"
 
 
 def _count_if(condition: Column) -> Column:
@@ -32,13 +33,19 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def key_null_profile(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Nulls in each key column of a typed table; absent columns are left out."""
-    wide = df.agg(*[_count_if(quoted(c).isNull()).alias(c) for c in keys if c in df.columns])
+    present = [c for c in keys if c in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "column_name string, null_count bigint")
+    wide = df.agg(*[_count_if(quoted(c).isNull()).alias(c) for c in present])
     return _as_rows(wide, "column_name", "null_count")
 
 
 def blank_key_profile(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Null or blank values in each key column of a text table; absent columns are left out."""
-    wide = df.agg(*[_count_if(is_blank(quoted(c))).alias(c) for c in keys if c in df.columns])
+    present = [c for c in keys if c in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "column_name string, blank_count bigint")
+    wide = df.agg(*[_count_if(is_blank(quoted(c))).alias(c) for c in present])
     return _as_rows(wide, "column_name", "blank_count")
 
 
@@ -75,6 +82,7 @@ def date_trial(value: Column) -> Mapping[str, Column]:
         "any_hour": F.try_to_date(value, ANY_HOUR),
         "timestamp_any_hour": F.try_to_timestamp(value, F.lit(ANY_HOUR)).cast("date"),
         "strip_then_day": F.try_to_date(strip_time(value), DAY_ONLY),
+        "strip_midnight_then_day": F.try_to_date(F.replace(value, F.lit(MIDNIGHT), F.lit("")), DAY_ONLY),
     }
 
 
@@ -93,8 +101,6 @@ def date_format_trial(df: DataFrame, column: str) -> DataFrame:
 
 def raw_length_profile(df: DataFrame, column: str) -> DataFrame:
     """How long the raw values are: one row per length, with an example value."""
-    value = quoted(column)
-    return (
-        df.groupBy(F.length(value).cast("bigint").alias("length"))
-        .agg(F.count("*").alias("row_count"), F.min(value).alias("example"))
-    )
+    each = df.groupBy(quoted(column).alias("value")).agg(F.count("*").alias("rows"))  # hashed: no row is sorted
+    by_length = each.groupBy(F.length("value").cast("bigint").alias("length"))
+    return by_length.agg(F.sum("rows").alias("row_count"), F.min("value").alias("example"))

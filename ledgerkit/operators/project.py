@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerkit.functions.text import clean_text, typed
+from ledgerkit.functions.text import clean_text, quoted, typed
 from ledgerkit.spec import TableSpec
 
 
-def quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def clean_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Clean the text columns (all of them by default) in one projection."""
     wanted = set(columns if columns is not None else df.columns)

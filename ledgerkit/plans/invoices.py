@@ -53,6 +53,7 @@ LINES = TableSpec(
 
 LINK = ParentLink(key="InvoiceId", alternate="InvoiceNumber")
 RAW_LINE_KEYS = ("InvoiceLineId", "InvoiceId", "InvoiceNumber")
+LINE_KEYS = ("InvoiceLineId", "StartDate", "EndDate")
 INVOICE_SAMPLE = ("InvoiceId", "InvoiceNumber", "InvoiceDate", "TaxPercentage", "Currency")
 LINE_SAMPLE = ("InvoiceLineId", "InvoiceId", "InvoiceNumber", "Description", "UnitPrice", "Quantity")
 DISTINCT_INVOICE_COLUMNS = {

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerkit.operators import integrity, profile, report
 from ledgerkit.operators.link import link_to_parent, spec_for
 from ledgerkit.operators.project import apply_spec, clean_columns, stitch_single_rows
-from ledgerkit.plans.invoices import DISTINCT_INVOICE_COLUMNS
+from ledgerkit.plans.invoices import DISTINCT_INVOICE_COLUMNS, LINE_KEYS
 from ledgerkit.sources.delimited import read_delimited, repair_header
 from ledgerkit.sources.tables import overwrite_table
 from ledgerkit.spec import JobConfig, ParentLink
@@ -28,6 +28,8 @@ class JobResult:
     summary: DataFrame
     invoice_nulls: DataFrame
     parse_failures: DataFrame
+    line_nulls: DataFrame
+    count_by_year: DataFrame
     by_year: DataFrame
     top_countries: DataFrame
 
@@ -48,10 +50,9 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
 def read_clean(spark: SparkSession, path: str, config: JobConfig, key: str) -> DataFrame:
     """Scan, repair the first header name, clean every column.
 
-    Rows are shuffled here only if the files are too few to keep the cluster busy; after that, or with
-    enough files, partitions are already of a good size for the write.
+    Rows are shuffled here only if the config asks for it; split files are spread by the scan itself.
     """
-    raw = read_delimited(spark, path, config.dialect, rebalance=None)
+    raw = read_delimited(spark, path, config.dialect, rebalance=config.rebalance)
     return clean_columns(repair_header(raw, key, config.repair))
 
 
@@ -107,6 +108,8 @@ def validate(invoices: DataFrame, lines: DataFrame, link: ParentLink) -> JobResu
         parse_failures=profile.parse_failures(invoices, ["InvoiceDate"]).unionAll(
             profile.parse_failures(lines, [link.key])
         ),
+        line_nulls=profile.key_null_profile(lines, [link.key, *LINE_KEYS]),
+        count_by_year=report.count_by_year(invoices, "InvoiceDate"),
         by_year=report.agg_by_year(invoices, "InvoiceDate", "CustomerKey"),
         top_countries=report.top_categories(invoices, "BillingCountryCode"),
     )

@@ -6,9 +6,9 @@ import unicodedata
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerkit.functions.text import quoted
 from ledgerkit.sources.split_scan import read_split
 from ledgerkit.spec import Dialect
 
@@ -33,12 +33,6 @@ def header_names(spark: SparkSession, path: str | list[str], dialect: Dialect) -
     return names
 
 
-def fewer_files_than_cores(spark: SparkSession, path: str | list[str]) -> bool:
-    """Looks at the file listing only, and stops once there are enough files."""
-    cores = spark.sparkContext.defaultParallelism
-    return spark.read.format("binaryFile").load(path).select("path").limit(cores).count() < cores
-
-
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -46,7 +40,7 @@ def read_delimited(
     *,
     columns: list[str] | None = None,
     reject_column: str | None = None,
-    rebalance: bool | None = False,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Read files as text columns named by ``columns`` or by their header.
 
@@ -55,7 +49,7 @@ def read_delimited(
     header; this is checked unless a name is empty.
 
     A multi-line file is one task unless ``dialect.split`` is set. ``rebalance`` spreads the rows right
-    after the scan, before any parsing; ``None`` does so only for fewer such files than cores.
+    after the scan, before any parsing: worth a shuffle where a few such files hold most of the data.
     """
     dialect = dialect or Dialect()
     names = columns or header_names(spark, path, dialect)
@@ -71,8 +65,6 @@ def read_delimited(
     if reject_column:
         reader = reader.option("columnNameOfCorruptRecord", reject_column)
     df = reader.csv(path)
-    if rebalance is None:
-        rebalance = dialect.multiline and fewer_files_than_cores(spark, path)
     return df.hint("rebalance") if rebalance else df
 
 
@@ -100,4 +92,4 @@ def repair_header(df: DataFrame, key: str, mode: str = "strict") -> DataFrame:
         damaged = first.strip() != key
     if not damaged:
         return df
-    return df.drop(F.col(f"`{first}`")) if key in rest else df.withColumnRenamed(first, key)
+    return df.drop(quoted(first)) if key in rest else df.withColumnRenamed(first, key)

@@ -26,30 +26,38 @@ from pyspark.sql import functions as F
 from ledgerkit.session import ensure_checkpoint_dir
 from ledgerkit.spec import Dialect
 
-SPLIT_KEY = ["file", "start", "size"]
-# One row of about 200 bytes per split; beyond this the split table is joined by a shuffle.
-MAX_BROADCAST_SPLITS = 1_000_000
+SPLIT_KEY = ["file", "start", "size", "modified"]
+# Bytes of one row of the split table; it is broadcast only below the session's own threshold.
+SPLIT_BYTES = 300
+# A line with content; the characters up to the space are what the multi-line reader takes for blank.
+FILLED = r"[^\x00-\x20]"
 
 
-def _pinned_session(spark: SparkSession) -> SparkSession:
-    """A session whose scans cut files the same way each time.
+def _pinned_session(spark: SparkSession, split_bytes: int | None) -> SparkSession:
+    """A session with the caller's settings whose scans cut files the same way each time.
 
     Spark sizes splits by the executors present at planning time; under dynamic allocation two scans of
     one file could be cut differently. The caller's own session is left as it is.
     """
     pinned = spark.newSession()
-    pinned.conf.set("spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            pinned.conf.set(name, value)
+    if split_bytes:
+        pinned.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        pinned.conf.set("spark.sql.files.openCostInBytes", min(split_bytes, 4 << 20))
     pinned.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
     return pinned
 
 
-def physical_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def physical_lines(spark: SparkSession, path: str | list[str], split_bytes: int | None = None) -> DataFrame:
     """Lines with the split they lie in and a number that grows along each split."""
-    text = _pinned_session(spark).read.option("lineSep", "\n").text(path)
+    text = _pinned_session(spark, split_bytes).read.option("lineSep", "\n").text(path)
     lines = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.col("_metadata.file_block_length").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
@@ -64,15 +72,18 @@ def physical_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def split_states(lines: DataFrame, quote: str) -> DataFrame:
     """One row per split: whether it begins and ends inside a quoted value, its first and last line with
-    an odd number of quotes, its first line with content, and the split that owns its leading lines."""
+    an odd number of quotes, its first line with content, and the split that owns its leading lines; of
+    its file, whether the first line ends in a carriage return and whether a quoted value stays open."""
     quote_bytes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(quote), F.lit("")))
     odd = F.when(quote_bytes % (2 * len(quote.encode())) != 0, F.col("line"))
     per_split = lines.groupBy(*SPLIT_KEY).agg(
         (F.count(odd) % 2).alias("parity"),
         F.min(odd).alias("first_odd"),
         F.max(odd).alias("last_odd"),
-        F.min(F.when(F.trim("value") != "", F.col("line"))).alias("first_filled"),
+        F.min(F.when(F.rlike("value", F.lit(FILLED)), F.col("line"))).alias("first_filled"),
+        F.min_by(F.endswith("value", F.lit("\r")), "line").alias("first_returns"),
     )
+    whole_file = W.partitionBy("file")
     in_file = W.partitionBy("file").orderBy("start")
     before = in_file.rowsBetween(W.unboundedPreceding, -1)
     so_far = in_file.rowsBetween(W.unboundedPreceding, 0)
@@ -84,8 +95,14 @@ def split_states(lines: DataFrame, quote: str) -> DataFrame:
                 "ends_inside": F.sum("parity").over(so_far) % 2 == 1,
             }
         )
-        .withColumn("head_owner", F.last(F.when(opens, F.col("start")), ignorenulls=True).over(before))
-        .drop("parity")
+        .withColumns(
+            {
+                "head_owner": F.last(F.when(opens, F.col("start")), ignorenulls=True).over(before),
+                "returns": F.max(F.when(F.col("start") == 0, F.col("first_returns"))).over(whole_file),
+                "stays_open": F.sum("parity").over(whole_file) % 2 == 1,
+            }
+        )
+        .drop("parity", "first_returns")
     )
 
 
@@ -98,6 +115,14 @@ def _record_pattern(dialect: Dialect) -> str:
     return rf"\A{field}(?:{d}{field})*\z"
 
 
+def _opening_pattern(dialect: Dialect) -> str:
+    """The first line of a record that goes on: whole fields, then a quoted one left open."""
+    d, q = re.escape(dialect.delimiter), re.escape(dialect.quote)
+    text = rf"[^{q}]*+(?:{q}{q}[^{q}]*+)*+"
+    field = rf"(?:[ \t]*{q}{text}{q}[ \t]*|[ \t]*(?:[^{q}{d} \t][^{d}]*+)?)"
+    return rf"\A(?:{field}{d})*[ \t]*{q}{text}\z"
+
+
 def _record_joiner(quote: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A batch function joining the lines of each record with line feeds and checking the result."""
 
@@ -134,6 +159,13 @@ def _record_joiner(quote: str, pattern: str) -> Callable[[Iterator[pa.RecordBatc
     return join_lines
 
 
+def _bytes(setting: str) -> int:
+    """A size setting such as ``10485760b``, ``10m`` or ``-1`` in bytes."""
+    unit = setting.strip().lower().removesuffix("b")
+    factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit[-1:], 1)
+    return int(unit.rstrip("kmg")) * factor
+
+
 def read_split(
     spark: SparkSession,
     path: str | list[str],
@@ -141,28 +173,36 @@ def read_split(
     names: list[str],
     reject_column: str | None = None,
     same_header: bool = False,
-    max_broadcast_splits: int = MAX_BROADCAST_SPLITS,
 ) -> DataFrame:
     """Text columns ``names`` of regular multi-line files, one task per split.
 
     The split table is worked out at once (one counting pass) and kept in the shared folder; its size
-    decides how it is joined. The rest is lazy. ``same_header`` requires every file to name its columns so.
+    against ``spark.sql.autoBroadcastJoinThreshold`` decides how it is joined. Line endings are settled file by
+    file, by the first line. A file with a value that is never closed fails here, and a line that seems to open
+    a value without beginning a quoted field fails before any line is grouped. The rest is lazy. ``same_header`` requires every file to name its columns so.
     """
     if dialect.encoding.upper() != "UTF-8" or dialect.quote != dialect.escape:
         raise ValueError("Dialect(split=True) needs UTF-8 and quotes escaped by doubling")
     if any("\n" in name for name in names):
         raise ValueError("Dialect(split=True) needs a header on one line")
-    lines = physical_lines(spark, path)
-    first = lines.select("value").first()
-    if first and first["value"].endswith("\r"):
-        lines = lines.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
+    lines = physical_lines(spark, path, dialect.split_bytes)
 
     ensure_checkpoint_dir(spark)
     splits = split_states(lines, dialect.quote).checkpoint()
-    if splits.count() <= max_broadcast_splits:
+    open_file = splits.filter("stays_open and first_odd is not null").orderBy("file", "start").select("file", "first_odd")
+    if bad := open_file.first():
+        at = lines.filter((F.col("file") == bad["file"]) & (F.col("line") == bad["first_odd"])).select("value").first()
+        raise ValueError(
+            f"a quoted value is never closed in {bad['file']}, read with Dialect(split=False); its first line with an odd "
+            f"number of quotes: {at['value'][:200]!r}"
+        )
+    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    if splits.count() * SPLIT_BYTES <= limit:
         located = lines.join(F.broadcast(splits), SPLIT_KEY, "left")
     else:
-        located = lines.join(splits, SPLIT_KEY, "left").sortWithinPartitions(*SPLIT_KEY, "line")
+        located = lines.join(splits.hint("shuffle_merge"), SPLIT_KEY, "left").sortWithinPartitions(*SPLIT_KEY, "line")
+    ended = F.col("returns") & F.endswith("value", F.lit("\r"))
+    located = located.withColumn("value", F.when(ended, F.expr("substr(value, 1, length(value) - 1)")).otherwise(F.col("value")))
 
     def parsed(columns: list[str], **options: str) -> Column:
         ddl = ", ".join("`{}` string".format(name.replace("`", "``")) for name in columns)
@@ -174,6 +214,11 @@ def read_split(
     is_header &= F.coalesce(F.col("line") == F.col("first_filled"), F.lit(False))
     other_header = parsed(names) != F.struct(*[F.lit(name).alias(name) for name in names])
     problem = F.when(F.col("begins_inside").isNull(), F.raise_error(F.lit("the files changed while being read")))
+    opening = F.col("ends_inside") & F.coalesce(F.col("line") == F.col("last_odd"), F.lit(False))
+    problem = problem.when(
+        opening & ~F.rlike("value", F.lit(_opening_pattern(dialect))),
+        F.raise_error(F.concat(F.lit("irregular quoting, read with Dialect(split=False): "), "file", F.lit(": "), "value")),
+    )
     if same_header:
         problem = problem.when(
             is_header & other_header,
@@ -197,4 +242,4 @@ def read_split(
     record = (
         parsed([*names, reject_column], columnNameOfCorruptRecord=reject_column) if reject_column else parsed(names)
     )
-    return records.filter(F.trim("value") != "").select(record.alias("record")).select("record.*")
+    return records.filter(F.rlike("value", F.lit(FILLED))).select(record.alias("record")).select("record.*")

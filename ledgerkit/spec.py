@@ -32,6 +32,7 @@ class Dialect:
     trim: bool = True
     mode: str = "PERMISSIVE"
     split: bool = False
+    split_bytes: int | None = None  # size of a split; the session's own setting by default
 
     def parse_options(self) -> dict[str, str]:
         """Options shared by the file reader and ``from_csv``."""
@@ -115,7 +116,9 @@ class JobConfig:
 
     ``location`` puts the written tables under that folder instead of the catalog's warehouse.
     ``repair`` is the header rule (``strict`` or ``legacy``), ``on_duplicate`` the alternate-key rule
-    (``fan_out``, ``min`` or ``error``).
+    (``fan_out``, ``min`` or ``error``). Files are read by many tasks each unless ``dialect`` says otherwise;
+    ``rebalance`` spreads the rows of files read whole right after the scan. A large load should raise
+    ``max_records_per_file``, or it writes very many files.
     """
 
     parents_path: str
@@ -125,7 +128,8 @@ class JobConfig:
     parents: TableSpec
     children: TableSpec
     link: ParentLink
-    dialect: Dialect = field(default_factory=Dialect)
+    dialect: Dialect = field(default_factory=lambda: Dialect(split=True))
+    rebalance: bool = False
     repair: str = "strict"
     on_duplicate: str = "fan_out"
     max_records_per_file: int = MAX_RECORDS_PER_FILE

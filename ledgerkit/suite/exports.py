@@ -64,6 +64,14 @@ def raw_order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_order_keys`` with some times of day other than midnight and some texts that are no dates."""
+    raw, key = raw_order_keys(spark, sf_dir), F.col("InvoiceId").cast("bigint")
+    timed = F.regexp_replace("InvoiceDate", " 0:00:00$", " 13:45:10")
+    mixed = F.when(_every("InvoiceId", 13), F.lit("no date")).when(key % 5 == 0, timed).otherwise(F.col("InvoiceDate"))
+    return raw.withColumn("InvoiceDate", F.when(_every("InvoiceId", BLANK_DATE_EVERY), F.lit("")).otherwise(mixed))
+
+
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All header columns as export text; addressees carry quotes, and line feeds for some keys."""
     nation = table(spark, sf_dir, "nation")

@@ -257,9 +257,11 @@ def oracle_sql() -> dict[str, str]:
         "grouped_decimal": """select o_orderkey,
             case when o_totalprice < 999.995 then o_totalprice end as by_default,
             o_totalprice as with_grouping from orders""",
-        "date_format_trial": f"""select method, case when method = 'two_digit_hour' then 0
-            else (select count(*) from orders where o_orderkey % {BLANK_DATE_EVERY} <> 0) end::bigint as parsed
-            from (values ('two_digit_hour'), ('any_hour'), ('timestamp_any_hour'), ('strip_then_day')) m(method)""",
+        "date_format_trial": f"""with readable as (
+            select o_orderkey % 5 = 0 as timed from orders where o_orderkey % {BLANK_DATE_EVERY} <> 0 and o_orderkey % 13 <> 0)
+            select method, (select count(*) from readable where (timed and way <> 'midnight') or (not timed and way <> 'timed'))
+            ::bigint as parsed from (values ('two_digit_hour', 'timed'), ('any_hour', 'both'), ('timestamp_any_hour', 'both'),
+            ('strip_then_day', 'both'), ('strip_midnight_then_day', 'midnight')) m(method, way)""",
         "raw_length_profile": f"""with {RAW_KEYS} select length("InvoiceDate")::bigint as length,
             count(*) as row_count, min("InvoiceDate") as example from raw group by 1""",
         "parse_failures": f"""with {INVOICES}, {LOST_LINES}, {NUMBERED_LINES}
@@ -277,6 +279,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "run_summary": SUMMARY,
         "full_run": SUMMARY,
+        "full_run_native": SUMMARY,
         "full_run_altkey": SUMMARY,
         "full_run_lines": _typed_lines('l_orderkey as "InvoiceId"'),
     }

@@ -1,6 +1,6 @@
 import pytest
 
-from ledgerkit.sources.delimited import fewer_files_than_cores, header_names, read_delimited, repair_header
+from ledgerkit.sources.delimited import header_names, read_delimited, repair_header
 from ledgerkit.spec import Dialect
 
 
@@ -72,13 +72,10 @@ def test_columns_are_pruned(spark, write_file):
     assert "ReadSchema: struct<C:string>" in df._jdf.queryExecution().toString()
 
 
-def test_rebalance_only_when_files_are_few(spark, write_file):
-    path = write_file("A\n1\n")
-    assert fewer_files_than_cores(spark, path)
-    plan = read_delimited(spark, path, rebalance=None)._jdf.queryExecution().toString()
-    assert "REBALANCE" in plan.upper()
-    many = [write_file("A\n1\n", f"{i}.csv") for i in range(spark.sparkContext.defaultParallelism)]
-    assert not fewer_files_than_cores(spark, many)
+@pytest.mark.parametrize("asked", [True, False])
+def test_rebalance_only_when_asked_for(spark, write_file, asked):
+    plan = read_delimited(spark, write_file("A\n1\n"), rebalance=asked)._jdf.queryExecution().toString()
+    assert ("REBALANCE" in plan.upper()) == asked
 
 
 @pytest.mark.parametrize(

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerkit.operators import link as L
 from ledgerkit.operators.project import apply_spec, clean_columns, project_existing, stitch_single_rows
@@ -51,9 +52,13 @@ def test_duplicate_rules(children, parents):
         L.lookup_left(children, parents, LINK, "any")
 
 
-def test_rows_without_key_are_spread(spark):
-    many = spark.range(1000).selectExpr("cast(null as bigint) as InvoiceNumber", "id as InvoiceLineId")
-    assert L.spread_nulls(many, "InvoiceNumber").select(L.SPREAD).distinct().count() == 1000
+def test_rows_without_key_go_round_the_join(spark):
+    many = spark.range(1000).select(F.expr("if(id >= 0, null, id)").alias("InvoiceNumber"), "id")
+    parents = spark.createDataFrame([(1, 10)], "InvoiceId bigint, InvoiceNumber bigint")
+    joined = L.lookup_left(many, parents, LINK)
+    assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.filter("InvoiceId is null").count() == 1000
+    assert joined.columns == ["InvoiceId", *many.columns]
 
 
 def test_alternate_key_spec_and_column_order(spark, parents):

@@ -55,6 +55,7 @@ def test_date_trial(ansi, texts):
         "any_hour": 2,
         "timestamp_any_hour": 2,
         "strip_then_day": 3,
+        "strip_midnight_then_day": 2,
     }
     assert P.date_trial_columns(df, "d").columns[0] == "original"
 
@@ -93,3 +94,20 @@ def test_summaries_of_an_empty_table(ansi, table):
     stats = R.child_stats(table.filter("false"), "id", "c", "c", "d", "d").first()
     assert (stats.total_children, stats.distinct_parents, stats.total_quantity) == (0, 0, None)
     assert (stats.avg_tax, stats.min_start) == (None, None)
+
+
+def test_lengths_are_grouped_by_hash_before_the_first_shuffle(table_of_texts):
+    plan = P.raw_length_profile(table_of_texts, "a`b")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan.split("Exchange")[-1] and "HashAggregate" in plan.split("Exchange")[-1]
+    assert {tuple(r) for r in P.raw_length_profile(table_of_texts, "a`b").collect()} == {(1, 2, "x"), (2, 1, "yy"), (None, 1, None)}
+
+
+def test_no_key_is_present(table_of_texts):
+    for profile in (P.key_null_profile, P.blank_key_profile):
+        assert profile(table_of_texts, ["absent"]).count() == 0
+        assert profile(table_of_texts, ["a`b"]).count() == 1
+
+
+@pytest.fixture
+def table_of_texts(spark):
+    return spark.createDataFrame([("x",), ("x",), ("yy",), (None,)], "`a``b` string")

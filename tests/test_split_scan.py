@@ -26,7 +26,7 @@ def rows(df):
 
 
 def field(value):
-    return '"' + value.replace('"', '""') + '"' if any(c in value for c in ';"\n') else value
+    return '"' + value.replace('"', '""') + '"' if any(c in value for c in ';"\n\r') else value
 
 
 def as_csv(records, newline="\n"):
@@ -60,8 +60,48 @@ def test_several_files_with_crlf_and_rejects(spark, tiny_splits, write_file):
 def test_large_split_tables_are_joined_by_a_shuffle(spark, tiny_splits, write_file):
     records = [[str(i), "a\nb" * (i % 5), 'q"'] for i in range(100)]
     path = write_file(as_csv(records))
-    by_shuffle = split_scan.read_split(spark, path, SPLIT, ["A", "B", "C"], max_broadcast_splits=0)
-    assert rows(by_shuffle) == rows(read_delimited(spark, path))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(split_scan.read_split(spark, path, SPLIT, ["A", "B", "C"]))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        by_shuffle = split_scan.read_split(spark, path, SPLIT, ["A", "B", "C"])
+        assert "BroadcastHashJoin" not in plan(by_shuffle)
+        assert rows(by_shuffle) == rows(read_delimited(spark, path))
+    finally:
+        spark.conf.set(setting, before)
+
+
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_each_file_has_its_own_line_ending(spark, tiny_splits, write_file, order):
+    paths = [write_file('A;B\n1;"p\r\nq"\n2;x\n', "1.csv"), write_file('A;B\r\n3;"z"\r\n4;"p\r\nq"\r\n', "2.csv")]
+    paths = [paths[i] for i in order]
+    assert rows(read_delimited(spark, paths, SPLIT)) == rows(read_delimited(spark, paths))
+
+
+def test_lines_of_white_space_are_no_records(spark, tiny_splits, write_file):
+    path = write_file("\t\n \nA;B\n1;x\n\t\n  \t\n2;y\n\n \n")
+    assert rows(read_delimited(spark, path, SPLIT)) == rows(read_delimited(spark, path)) != []
+
+
+def test_stray_quotes_fail_before_any_grouping(spark, tiny_splits, write_file):
+    body = [f"{i};text" for i in range(2000)]
+    one = write_file("\n".join(["A;B", '1;5" pipe', *body]) + "\n", "one.csv")
+    with pytest.raises(ValueError, match='one.csv.*5" pipe'):
+        read_delimited(spark, one, SPLIT)
+    two = write_file("\n".join(["A;B", '1;5" pipe', *body, '2;6" pipe']) + "\n", "two.csv")
+    with pytest.raises(Exception, match='two.csv: 1;5" pipe'):
+        read_delimited(spark, two, SPLIT).collect()
+
+
+def test_the_callers_settings_reach_the_scan(spark, tiny_splits, write_file):
+    setting = "spark.sql.files.ignoreMissingFiles"
+    spark.conf.set(setting, "true")
+    try:
+        assert split_scan._pinned_session(spark, None).conf.get(setting) == "true"
+    finally:
+        spark.conf.unset(setting)
 
 
 @pytest.mark.parametrize(
@@ -89,7 +129,7 @@ def test_unsupported_dialects_are_refused(spark, write_file):
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
-        st.lists(st.text(alphabet='ab;"\n é', max_size=30), min_size=3, max_size=3), min_size=1, max_size=40
+        st.lists(st.text(alphabet='ab;"\n é\t', max_size=30), min_size=3, max_size=3), min_size=1, max_size=40
     )
 )
 def test_any_regular_file(spark, tiny_splits, write_file, records):
