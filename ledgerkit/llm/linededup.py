@@ -168,7 +168,7 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, max_bits: int
     ).distinct()
     found = stored(found, "suspects")
     confirmed = found.groupBy("k1", "k2").agg(F.count("*").alias("docs"), F.max("doc_id").alias("keeper"))
-    confirmed = confirmed.filter(F.col("docs") >= min_docs).drop("docs")
+    confirmed = stored(confirmed.filter(F.col("docs") >= min_docs).drop("docs"), "repeated")
     lost = found.join(confirmed, ["k1", "k2"]).filter("doc_id <> keeper")
     return lost.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("drop"))  # a document's own lines
 
