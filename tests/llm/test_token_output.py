@@ -1,4 +1,5 @@
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -19,9 +20,15 @@ ODD = [
 ]
 
 
-def whole(path, texts):
+@lru_cache
+def tokenizer(path):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
+    return t
+
+
+def whole(path, texts):
+    t = tokenizer(path)
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
