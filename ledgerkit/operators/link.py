@@ -56,6 +56,23 @@ def lookup_left(
     return joined.unionAll(children.filter(number.isNull()).select(no_key, *columns))
 
 
+def lookup_fan_out(children: DataFrame, parents: DataFrame, link: ParentLink) -> DataFrame:
+    """One row: how many alternate keys repeat among the parents, and how many rows ``fan_out`` adds for them.
+
+    Both tables' numbers are counted in one grouping: a hot number travels as a few counters.
+    """
+    number = quoted(link.alternate)
+    sides = parents.filter(number.isNotNull()).select(number.alias("number"), F.lit(1).alias("p"), F.lit(0).alias("c")).unionAll(
+        children.filter(number.isNotNull()).select(number.alias("number"), F.lit(0).alias("p"), F.lit(1).alias("c"))
+    )
+    per_number = sides.groupBy("number").agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
+    added = F.when(F.col("p") > 1, (F.col("p") - 1) * F.col("c"))
+    return per_number.agg(
+        F.count(F.when(F.col("p") > 1, F.lit(1))).alias("repeated_numbers"),
+        F.coalesce(F.sum(added), F.lit(0)).cast("bigint").alias("rows_added"),
+    )
+
+
 def link_to_parent(
     typed_children: DataFrame,
     parents: DataFrame,

@@ -200,6 +200,10 @@ def oracle_sql() -> dict[str, str]:
         "lookup_left": f"""with {INVOICES}, {LOST_LINES}, {NUMBERED_LINES}, {REPEATED_PARENTS}
             select p."InvoiceId", l.* from numbered_lines l
             left join parents p on l."InvoiceNumber" = p."InvoiceNumber" """,
+        "lookup_fan_out": f"""with {INVOICES}, {LOST_LINES}, {NUMBERED_LINES}, {REPEATED_PARENTS}, repeats as (
+            select "InvoiceNumber", count(*) as n from parents where "InvoiceNumber" is not null group by 1 having count(*) > 1)
+            select (select count(*) from repeats) as repeated_numbers, coalesce((select sum(n - 1) from numbered_lines
+            join repeats using ("InvoiceNumber")), 0)::bigint as rows_added""",
         "lookup_left_min": f"""with {INVOICES}, {LOST_LINES}, {NUMBERED_LINES}, {REPEATED_PARENTS}
             select p."InvoiceId", l.* from numbered_lines l left join (
               select min("InvoiceId") as "InvoiceId", "InvoiceNumber" from parents group by "InvoiceNumber") p

@@ -14,7 +14,7 @@ from ledgerkit.plans import invoices as I
 from ledgerkit.plans import job
 from ledgerkit.sources import tables
 from ledgerkit.sources.delimited import read_delimited, repair_header
-from ledgerkit.spec import MAX_RECORDS_PER_FILE, Dialect, JobConfig
+from ledgerkit.spec import Dialect, JobConfig
 from ledgerkit.suite import exports as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,6 +229,12 @@ def lookup_left(spark: SparkSession, sf: str) -> DataFrame:
     return link.lookup_left(_numbered_lines(spark, sf), _numbered_parents(spark, sf, repeated=True), I.LINK)
 
 
+@query
+def lookup_fan_out(spark: SparkSession, sf: str) -> DataFrame:
+    """What the repeated numbers of ``lookup_left`` do to it."""
+    return link.lookup_fan_out(_numbered_lines(spark, sf), _numbered_parents(spark, sf, repeated=True), I.LINK)
+
+
 @query
 def lookup_left_min(spark: SparkSession, sf: str) -> DataFrame:
     parents = _numbered_parents(spark, sf, repeated=True)

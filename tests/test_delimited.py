@@ -74,8 +74,8 @@ def test_columns_are_pruned(spark, write_file):
 
 @pytest.mark.parametrize("asked", [True, False])
 def test_rebalance_only_when_asked_for(spark, write_file, asked):
-    plan = read_delimited(spark, write_file("A\n1\n"), rebalance=asked)._jdf.queryExecution().toString()
-    assert ("REBALANCE" in plan.upper()) == asked
+    plan = read_delimited(spark, write_file("A\n1\n"), rebalance=asked)._jdf.queryExecution().analyzed().toString()
+    assert ("RebalancePartitions" in plan or "Hint (strategy=rebalance)" in plan) == asked
 
 
 @pytest.mark.parametrize(

@@ -97,3 +97,12 @@ def test_stitching_rows(spark):
     right = spark.sql("select cast('2020-01-01' as date) as d, 2.5d as e")
     row = stitch_single_rows(left, right).first()
     assert (row.a, row.b, str(row.d), row.e) == (1, None, "2020-01-01", 2.5)
+
+
+def test_fan_out_is_counted(spark):
+    children = spark.createDataFrame([(10, 1), (10, 2), (11, 3), (None, 4), (99, 5)], "InvoiceNumber bigint, InvoiceLineId bigint")
+    parents = spark.createDataFrame([(1, 10), (2, 10), (3, 10), (4, 11), (5, 12), (6, 12), (7, None)], "InvoiceId bigint, InvoiceNumber bigint")
+    row = L.lookup_fan_out(children, parents, LINK).first()
+    assert tuple(row) == (2, 4)
+    assert L.lookup_left(children, parents, LINK).count() == children.count() + row.rows_added
+    assert tuple(L.lookup_fan_out(children.limit(0), parents, LINK).first()) == (2, 0)
