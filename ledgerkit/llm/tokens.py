@@ -20,9 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept by a worker; beyond it the cache starts anew between slices.
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 700_000
 #: Bytes of text worked on at once.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 8_000_000
 #: A mark before a piece that has no space before it in its text.
 BARE = "\x02"
 #: Marks that end a word: no tokenizer here joins them to the letter before.

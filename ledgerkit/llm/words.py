@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 TILE = 1 << 20
 
 _code = np.arange(256)
