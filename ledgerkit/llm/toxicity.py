@@ -1,9 +1,9 @@
 """Toxicity by a classifier chain: linear models of the categories in turn, each seeing the earlier ones' probabilities.
 
-Features are counts of telling words. All labelled rows choose them: words are first counted in shared counters, by
-label; words of the promising counters are then counted one by one, and the TERMS that tell the first category best
-stay. A bounded sample, ``max_rows`` rows chosen by a hash of their id, trains the models. While they train, a later
-category sees earlier probabilities from models that have not seen the row (FOLDS folds), as it will when scoring.
+Fitting uses a bounded sample: ``max_rows`` labelled rows, chosen by a hash of their id. Features are counts of telling
+words: words are first counted in shared counters, by label; words of the promising counters are then counted one by
+one, and the TERMS that tell the first category best stay. While the models train, a later category sees earlier
+probabilities from models that have not seen the row (FOLDS folds), as it will when scoring.
 
 The labels know one flag. The second category, ``severe``, is derived from it on training rows: toxic rows with at
 least SEVERE_HITS uses of words found mostly in toxic rows. Any other 0/1 columns may be given as categories instead.
@@ -31,7 +31,7 @@ from ledgerkit.llm.quality import held_out
 from ledgerkit.llm.scratch import stored
 from ledgerkit.llm.words import IS_MARK, Words, buffers, text_slices, words
 
-MAX_ROWS, TERMS, LEAST_ROWS = 20_000, 128, 5
+MAX_ROWS, TERMS, LEAST_ROWS = 40_000, 128, 5
 #: Squared deviations by which a word must differ from the labels' shares: rarer words pass it by chance otherwise.
 LEAST_TELLING = 45
 COUNTERS, PROMISING, CHUNK = 1 << 18, 4096, 1 << 14
@@ -156,7 +156,7 @@ def telling(clean: np.ndarray, toxic: np.ndarray, n_clean: float, n_toxic: float
 
 
 def choose_terms(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the words that tell best, from all (label, text) rows; which are found mostly in toxic rows."""
+    """Sorted hashes of the words that tell best, from (label, text) rows; which are found mostly in toxic rows."""
     sizes = dict(rows.groupBy("label").count().collect())
     n_clean, n_toxic = float(sizes.get(0, 0)), float(sizes.get(1, 0))
     tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
@@ -217,13 +217,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("to
     y = F.struct(*categories)
     known = known.groupBy("doc_id").agg(F.min(y).alias("y"), F.max(y).alias("other")).filter("y = other")
     known = known.select(F.col("doc_id").alias("known_id"), F.array(*(f"y.{c}" for c in categories)).alias("y"))
+    known = F.broadcast(known.orderBy(F.xxhash64("known_id"), "known_id").limit(max_rows))  # max_rows narrow rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(texts.join(known, F.col("doc_id") == F.col("known_id")).select("known_id", "y", "text"), "labelled")
     terms, mostly = choose_terms(rows.select(F.col("y")[0].alias("label"), "text"))
 
-    ids = rows.select("known_id").distinct().orderBy(F.xxhash64("known_id"), "known_id").limit(max_rows)
-    chosen = rows.join(F.broadcast(ids), "known_id")  # max_rows numbers at most
-    found = chosen.mapInArrow(partial(_training_rows, terms=terms), "known_id long, y array<int>, x binary").toPandas()
+    found = rows.mapInArrow(partial(_training_rows, terms=terms), "known_id long, y array<int>, x binary").toPandas()
     found = found.sort_values(["known_id", "x"], kind="stable")
     counts = np.array([np.frombuffer(x, np.float32) for x in found["x"]], float).reshape(len(found), len(terms))
     target = np.array(found["y"].tolist(), float).reshape(len(found), len(categories))
