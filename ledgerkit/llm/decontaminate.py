@@ -6,8 +6,9 @@ blocks of each term and sketches the block matrix A for a randomised SVD: every
 for a random W, and the decomposition of that small sum gives the right singular vectors. (The pass knows no IDF yet:
 D A'A W, with the weights D, is the sketch of the weighted matrix A D by the random matrix W over D.) Passages and
 items are folded into the space, and pairs with a cosine above what a partly copied item would have are candidates.
-Candidates that share too few of the item's rarer words are dropped; of the rest, the longest common subsequence of the
-item's words and the passage with its surroundings decides, together with the item's answer: its last sentence.
+Candidates whose surroundings hold fewer words of the item or its answer, in any order, than a match has are dropped,
+which loses no match; of the rest, the longest common subsequence of the item's words and the passage with its
+surroundings decides, together with the item's answer: its last sentence.
 
 An item matches if SURE of its words occur in order, or LIKELY of them with ANSWER of its answer. Items longer than
 SEGMENT words are searched in segments. Words are compared without ASCII marks, A-Z lower-cased.
@@ -38,8 +39,8 @@ TERMS, RANK = 1 << 13, 64
 #: Of the cosine that an item copied whole into a passage has on average, the share that makes a candidate.
 NEAR = 0.3
 SURE, LIKELY, ANSWER, LEAST_ANSWER = 0.65, 0.55, 0.8, 4
-#: Words in more than this share of the blocks of the most frequent term are common; the share of others to be found.
-COMMON, RARER = 0.02, 0.5
+#: Words in more than this share of the blocks of the most frequent term are common: counted later than the rarer ones.
+COMMON = 0.06
 #: Items and passages compared at once, and terms summed by one task.
 ITEMS_AT_ONCE, PASSAGES_AT_ONCE, CHUNK = 256, 16_000, 128
 
@@ -175,6 +176,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return np.divide(x, size, out=np.zeros_like(x), where=size > 0)
 
 
+def _enough(common: np.ndarray, answer: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Whether ``common`` of ``n`` words, ``answer`` of them among the ``wanted`` ones of the answer, make a match."""
+    return (common >= SURE * n) | ((common >= LIKELY * n) & (wanted >= LEAST_ANSWER) & (answer >= ANSWER * wanted))
+
+
 def near_enough(n: np.ndarray) -> np.ndarray:
     """The least cosine of a candidate for items of ``n`` words."""
     inside = np.minimum(n, BLOCK / 2 + n / 2)  # words in the better of two passages, at the worst place
@@ -188,6 +194,8 @@ class Search:
         self.items, self.space = items, space
         n = np.array([len(h) for h in items.hashes])
         self.n, self.least = n, near_enough(n).astype(np.float32)
+        self.wanted = n - np.array(items.stems)
+        self.answers = np.array([(1 << int(k)) - (1 << stem) for k, stem in zip(n, items.stems, strict=True)], np.uint64)
         vectors, self.groups = [], []
         for a in range(0, len(n), ITEMS_AT_ONCE):
             of = items.hashes[a : a + ITEMS_AT_ONCE]
@@ -201,9 +209,10 @@ class Search:
             for i, h in enumerate(of):
                 np.bitwise_or.at(bits[i], np.searchsorted(known, h), np.uint64(1) << np.arange(len(h), dtype=np.uint64))
             if_rare = np.bitwise_count(np.bitwise_or.reduce(np.where(rare, bits[:, :-1], 0), axis=1))
+            rare_needed = LIKELY * n[a : a + len(of)] - (n[a : a + len(of)] - if_rare)  # if all its common words are there
             word, item = np.nonzero(bits.T)
             owners = item, np.searchsorted(word, np.arange(len(known) + 2))
-            self.groups.append((a, a + len(of), known, bits, rare, if_rare * RARER, owners))
+            self.groups.append((a, a + len(of), known, bits, rare, rare_needed, owners))
         self.vectors = _unit(np.concatenate(vectors)).astype(np.float32)
 
     def passages(self, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,13 +241,7 @@ class Search:
                 near = vectors[c : c + PASSAGES_AT_ONCE] @ self.vectors[a:b].T >= self.least[a:b]
                 near &= self._in_common(lo[c:], hi[c:], telling, word, of, near.shape) >= rare_needed
                 passage, item = np.nonzero(near)
-                at, n = np.searchsorted(telling, lo[c + passage]), np.searchsorted(telling, hi[c + passage])
-                n -= at
-                if_none = np.repeat(np.arange(len(n)), n)
-                every = np.arange(len(if_none)) - np.repeat(np.cumsum(n) - n, n) + at[if_none]
-                masks = np.append(bits[item[if_none], word[telling[every]]], np.uint64(0))
-                covered = np.bitwise_or.reduceat(masks, np.minimum(np.cumsum(n) - n, len(masks) - 1))
-                enough = np.where(n > 0, np.bitwise_count(covered), 0) >= rare_needed[item]
+                enough = self._may_match(lo[c + passage], hi[c + passage], word, bits, item, a)
                 p, i = passage[enough], item[enough]
                 around = begin[c + p][:, None] + np.arange(-BLOCK, 3 * BLOCK)
                 inside = (around >= lo[c + p][:, None]) & (around < hi[c + p][:, None])
@@ -265,6 +268,18 @@ class Search:
             total += np.bincount((first[event] + k)[held] * shape[1] + item[held], minlength=len(total))
         return total.reshape(shape)
 
+    def _may_match(self, lo: np.ndarray, hi: np.ndarray, word: np.ndarray, bits: np.ndarray, item: np.ndarray, a: int) -> np.ndarray:
+        """Whether the words from ``lo`` to ``hi``, in any order, are enough: those in order are never more."""
+        out = np.zeros(len(item), bool)
+        for k in range(0, len(item), PASSAGES_AT_ONCE):
+            of, first, last = item[k : k + PASSAGES_AT_ONCE], lo[k : k + PASSAGES_AT_ONCE], hi[k : k + PASSAGES_AT_ONCE]
+            covered = np.zeros(len(of), np.uint64)
+            for step in range(int((last - first).max())):
+                covered |= bits[of, word[np.minimum(first + step, last - 1)]]
+            common, answer = np.bitwise_count(covered), np.bitwise_count(covered & self.answers[a + of])
+            out[k : k + len(of)] = _enough(common, answer, self.n[a + of], self.wanted[a + of])
+        return out
+
     def _decide(self, best: list[dict], text: np.ndarray, item: np.ndarray, hits: np.ndarray, cosine: np.ndarray) -> None:
         v = np.full(len(text), ~np.uint64(0))
         for step in hits.T:  # a zero bit: one more word in common up to that word of the item
@@ -276,9 +291,7 @@ class Search:
         common = np.bitwise_count(~v & low(n)).astype(np.int64)
         answer = common - np.bitwise_count(~v & low(stem)).astype(np.int64)
         wanted = (n - stem).astype(np.int64)
-        sure = common >= SURE * n
-        likely = (common >= LIKELY * n) & (wanted >= LEAST_ANSWER) & (answer >= ANSWER * wanted)
-        for k in np.flatnonzero(sure | likely):
+        for k in np.flatnonzero(_enough(common, answer, n.astype(np.int64), wanted)):
             item_id = self.items.ids[item[k]]
             new = {"item_id": item_id, "words": int(n[k]), "common": int(common[k]), "answer_common": int(answer[k]),
                    "cosine": float(cosine[k])}

@@ -89,3 +89,25 @@ def test_latent_space_keeps_cosines_of_low_rank_text():
     near = v @ v.T
     alike = same[:, None] == same
     assert near[alike].mean() > near[~alike].mean() + 0.15
+
+
+def test_paraphrases_that_keep_only_function_words(spark, docs):
+    rng = random.Random(5)
+    small, large = [f"fn{i}" for i in range(12)], [f"content{i}" for i in range(4000)]
+    draw = lambda n: [rng.choice(small if k % 2 else large) for k in range(n)]
+    items = [draw(40) for _ in range(20)]
+    rows, expected = [], set()
+    for d in range(200):
+        text = draw(rng.randrange(0, 200))
+        if d % 2:
+            i = rng.randrange(len(items))
+            words = list(items[i])
+            for k in rng.sample(range(0, 40, 2), 14):  # SURE is still met: 26 of 40 in order, but 6 of 20 content words
+                words[k] = "new" + words[k]
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = words
+            expected.add((d, i))
+        rows.append((d, " ".join(text)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    out = decontaminate.find_matches(docs(rows), bench).collect()
+    assert {(r.doc_id, m.item_id) for r in out for m in r.matches} >= expected
