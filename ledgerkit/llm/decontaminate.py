@@ -5,9 +5,11 @@ whole in one. Terms are hashed words weighted by TF-IDF over all blocks of the c
 blocks of each term and sketches the block matrix A for a randomised SVD: every task adds up its rows' share of A'(A W)
 for a random W, and the decomposition of that small sum gives the right singular vectors. (The pass knows no IDF yet:
 D A'A W, with the weights D, is the sketch of the weighted matrix A D by the random matrix W over D.) Passages and
-items are folded into the space, and pairs with a cosine above what a partly copied item would have are candidates.
-Candidates whose surroundings hold fewer words of the item or its answer, in any order, than a match has are dropped,
-which loses no match; of the rest, the longest common subsequence of the item's words and the passage with its
+items are folded into the space; their cosine is reported and chooses between passages that match equally well. It
+drops no pair: in so few dimensions even some verbatim copies lie below any useful threshold.
+
+All passages are candidates whose surroundings hold as many words of the item and its answer, in any order, as a match
+has; no match fails that. Of these, the longest common subsequence of the item's words and the passage with its
 surroundings decides, together with the item's answer: its last sentence.
 
 An item matches if SURE of its words occur in order, or LIKELY of them with ANSWER of its answer. Items longer than
@@ -36,8 +38,6 @@ from ledgerkit.llm.words import IS_MARK, Words, buffers, text_slices, words
 
 BLOCK, SEGMENT = 32, 64
 TERMS, RANK = 1 << 13, 64
-#: Of the cosine that an item copied whole into a passage has on average, the share that makes a candidate.
-NEAR = 0.3
 SURE, LIKELY, ANSWER, LEAST_ANSWER = 0.65, 0.55, 0.8, 4
 #: Words in more than this share of the blocks of the most frequent term are common: counted later than the rarer ones.
 COMMON = 0.06
@@ -181,20 +181,13 @@ def _enough(common: np.ndarray, answer: np.ndarray, n: np.ndarray, wanted: np.nd
     return (common >= SURE * n) | ((common >= LIKELY * n) & (wanted >= LEAST_ANSWER) & (answer >= ANSWER * wanted))
 
 
-def near_enough(n: np.ndarray) -> np.ndarray:
-    """The least cosine of a candidate for items of ``n`` words."""
-    inside = np.minimum(n, BLOCK / 2 + n / 2)  # words in the better of two passages, at the worst place
-    return NEAR * inside / np.sqrt(n * 2.0 * BLOCK)
-
-
 class Search:
     """The benchmark folded into the latent space, ready to meet passages."""
 
     def __init__(self, items: Items, space: Space) -> None:
         self.items, self.space = items, space
         n = np.array([len(h) for h in items.hashes])
-        self.n, self.least = n, near_enough(n).astype(np.float32)
-        self.wanted = n - np.array(items.stems)
+        self.n, self.wanted = n, n - np.array(items.stems)
         self.answers = np.array([(1 << int(k)) - (1 << stem) for k, stem in zip(n, items.stems, strict=True)], np.uint64)
         vectors, self.groups = [], []
         for a in range(0, len(n), ITEMS_AT_ONCE):
@@ -237,10 +230,9 @@ class Search:
             place = np.minimum(np.searchsorted(known, found.hashes), len(known) - 1)
             word = np.where(known[place] == found.hashes, place, len(known))
             telling = np.flatnonzero(np.append(rare, False)[word])  # places of the items' rarer words
-            for c in range(0, len(vectors), PASSAGES_AT_ONCE):
-                near = vectors[c : c + PASSAGES_AT_ONCE] @ self.vectors[a:b].T >= self.least[a:b]
-                near &= self._in_common(lo[c:], hi[c:], telling, word, of, near.shape) >= rare_needed
-                passage, item = np.nonzero(near)
+            for c in range(0, len(begin), PASSAGES_AT_ONCE):
+                shape = min(PASSAGES_AT_ONCE, len(begin) - c), b - a
+                passage, item = np.nonzero(self._in_common(lo[c:], hi[c:], telling, word, of, shape) >= rare_needed)
                 enough = self._may_match(lo[c + passage], hi[c + passage], word, bits, item, a)
                 p, i = passage[enough], item[enough]
                 around = begin[c + p][:, None] + np.arange(-BLOCK, 3 * BLOCK)

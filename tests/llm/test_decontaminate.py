@@ -111,3 +111,24 @@ def test_paraphrases_that_keep_only_function_words(spark, docs):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     out = decontaminate.find_matches(docs(rows), bench).collect()
     assert {(r.doc_id, m.item_id) for r in out for m in r.matches} >= expected
+
+
+def test_no_match_is_lost_whatever_its_cosine():
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randrange(15, 21))] for _ in range(30)]
+    texts = []
+    for d in range(60):
+        text, i = [rng.choice(vocabulary) for _ in range(rng.randrange(0, 300))], d % len(items)
+        at = rng.randrange(len(text) + 1)
+        text[at:at] = [w for k, w in enumerate(items[i]) if d % 3 or k % 4]  # whole, or three quarters
+        texts.append(text)
+    hashes = [decontaminate._read(pa.array([" ".join(w)])).hashes for w in items]
+    found = decontaminate.Items(list(range(len(items))), hashes, [len(h) for h in hashes])
+    space = decontaminate.Space(np.zeros((decontaminate.TERMS, 2), np.float32), np.zeros(decontaminate.TERMS, bool))  # all cosines 0
+    out = decontaminate.Search(found, space).run(pa.array([" ".join(t) for t in texts]))
+    step = decontaminate.BLOCK
+    for text, matches in zip(texts, out, strict=True):
+        spans = [text[max(0, a - step) : a + 3 * step] for a in range(0, max(1, len(text) - step), step)]
+        expected = {i for i, w in enumerate(items) if max(lcs(w, x) for x in spans) >= decontaminate.SURE * len(w)}
+        assert {m["item_id"] for m in matches} == expected
