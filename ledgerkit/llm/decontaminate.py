@@ -13,7 +13,7 @@ has; no match fails that. Of these, the longest common subsequence of the item's
 surroundings decides, together with the item's answer: its last sentence.
 
 An item matches if SURE of its words occur in order, or LIKELY of them with ANSWER of its answer. Items longer than
-SEGMENT words are searched in segments. Words are compared without ASCII marks, A-Z lower-cased.
+SEGMENT words are searched in segments that overlap by half. Words are compared without ASCII marks, A-Z lower-cased.
 
 Cases: empty and null texts match nothing, as documents and as items; a null ``item_id`` is kept in the matches; rows
 that repeat a ``doc_id`` are searched each by its own text; other columns are kept, one named ``matches`` is replaced;
@@ -161,9 +161,8 @@ def read_items(benchmark: DataFrame) -> Items:
         found = _read(pa.array([text])).hashes
         sentences = [x for x in re.split(r"[.!?\n]+", text) if len(_read(pa.array([x])).hashes)]
         answer = len(_read(pa.array(sentences[-1:])).hashes) if len(sentences) > 1 else 0
-        starts = list(range(0, max(1, len(found) - SEGMENT // 4), SEGMENT))
-        for a in starts if len(found) else []:
-            a = max(0, min(a, len(found) - SEGMENT))
+        end = max(0, len(found) - SEGMENT)  # the last segment ends at the item's end
+        for a in [*range(0, end, SEGMENT // 2), end] if len(found) else []:
             part = found[a : a + SEGMENT]
             out.ids.append(item_id)
             out.hashes.append(part)

@@ -132,3 +132,14 @@ def test_no_match_is_lost_whatever_its_cosine():
         spans = [text[max(0, a - step) : a + 3 * step] for a in range(0, max(1, len(text) - step), step)]
         expected = {i for i, w in enumerate(items) if max(lcs(w, x) for x in spans) >= decontaminate.SURE * len(w)}
         assert {m["item_id"] for m in matches} == expected
+
+
+def test_long_items_are_searched_to_their_end_and_across_segments(spark, docs):
+    words = [f"w{i}" for i in range(130)]
+    answered = [f"v{i}" for i in range(80)]
+    bench = [(1, " ".join(words)), (2, " ".join(answered[:70]) + ". " + " ".join(answered[70:]))]
+    some = [w for k, w in enumerate(answered) if k >= 70 or (k >= 16 and k % 2)]  # 37 of the last 64, with the answer
+    rows = [(1, " ".join(words[34:94])), (2, " ".join(some)), (3, " ".join(answered[:30]))]
+    frame = spark.createDataFrame(bench, "item_id long, text string")
+    out = decontaminate.find_matches(docs(rows), frame).collect()
+    assert {(r.doc_id, m.item_id) for r in out for m in r.matches} == {(1, 1), (2, 2)}
