@@ -5,7 +5,11 @@ IDF counts the corpus's lines. A line's vector has its template terms and, for e
 the highest IDF, so words around a statement lower its cosine. Only lines with one of the telling terms are compared:
 the others' terms hold too little of every template's length to reach the threshold (Cauchy-Schwarz), so none is lost.
 
-A document's licence is that of its best line. One that states none takes the licence of its directory, or of the
+Spans of a text about as long as a template are compared too, wherever lines end: a notice beside other words, at the end
+of a line of prose or wrapped over lines states its licence in a corpus of any size, if the span has the words that name
+it. ``licenses`` has every licence that a document states, by name; null if it states none.
+
+A document's licence is that of its best line, or of its best span if no line reaches the threshold. One that states none takes the licence of its directory, or of the
 nearest directory above that has one. A directory's licence is that of its licence file: the stating document right in
 it with the smallest id, or, where documents lie only in its subdirectories, the one below it with the smallest id.
 
@@ -40,6 +44,14 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 THRESHOLD = 0.75
+#: Words that a span must have to state a notice's licence; without them it may be any other licence.
+NAMING = {
+    "Apache-2.0": "apache 2", "BSD-3-Clause": "bsd 3", "CC-BY-4.0": "attribution 4", "CC-BY-NC-4.0": "nc 4",
+    "CC-BY-SA-4.0": "sa 4", "GPL-3.0": "gnu general 3", "ISC": "isc", "LGPL-3.0": "lesser 3", "MIT": "mit",
+    "MPL-2.0": "mozilla 2", "Proprietary": "reserved rights", "Unlicense": "unencumbered",
+}
+#: Words that a longer span may have between a passage's own.
+EXTRA = 3
 
 
 def terms_of(line: Column) -> Column:
@@ -64,8 +76,88 @@ def telling_terms(counts: dict[str, Counter], idf: dict[str, float], threshold:
     return []
 
 
+def _passages(templates: dict[str, str], idf: dict[str, float]) -> list[tuple[str, Counter, list[str], dict[str, float]]]:
+    """(license, terms, words a span must have, weights) of all that a span is compared with."""
+    out = []
+    for name, c in template_terms(templates).items():
+        must = NAMING.get(name, "").split()
+        if not must or not set(must) <= set(c):
+            must = [max(c, key=lambda w: (idf[w], w))]
+        out.append((name, c, must, idf))
+    return out
+
+
+def _spans(terms: Column, place: int, passage: tuple[str, Counter, list[str], dict[str, float]]) -> Column:
+    """For each place in ``terms`` of the passage's first naming word, the best span around it.
+
+    A word that is not the passage's weighs as much as one of its words on average, however large the corpus is: with k
+    such words in between, a passage of n words scores 1 / sqrt(1 + k / n).
+    """
+    name, c, must, idf = passage
+    size, square = sum(c.values()), sum((n * idf[w]) ** 2 for w, n in c.items())
+    words = F.array(*(F.struct(F.lit(w).alias("w"), F.lit(float(n)).alias("n"), F.lit(idf[w] ** 2).alias("q")) for w, n in c.items()))
+
+    def scored(begin: Column, length: int) -> Column:
+        span = F.slice(terms, begin, length)
+        tf = F.transform(words, lambda w: F.struct(F.size(F.filter(span, lambda x: x == w.w)).alias("k"), w.n.alias("n"), w.q.alias("q")))
+        sums = F.aggregate(
+            tf,
+            F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("own"), F.lit(0).alias("k")),
+            lambda s, t: F.struct(
+                (s.dot + t.k * t.n * t.q).alias("dot"), (s.own + t.k * t.k * t.q).alias("own"), (s.k + t.k).alias("k")
+            ),
+        )
+        found = F.transform(F.array(sums), lambda s: s.dot / F.sqrt((s.own + (F.size(span) - s.k) * (square / size)) * square))
+        named = F.lit(True)
+        for w in must[1:]:
+            named &= F.array_contains(span, w)
+        return F.struct(
+            F.when(named, found[0]).otherwise(0.0).alias("score"), F.lit(-place).alias("order"), F.lit(name).alias("license"),
+            begin.alias("begin"), (begin + length - 1).alias("end"),
+        )
+
+    at = F.filter(F.transform(terms, lambda x, i: F.when(x == must[0], i + 1)), lambda i: i.isNotNull())
+
+    def best(i: Column) -> Column:
+        def of(m: int) -> Column:
+            return F.transform(F.sequence(F.greatest(i - (m - 1), F.lit(1)), i), lambda begin: scored(begin, m))
+
+        return F.array_max(F.concat(*map(of, range(size, size + EXTRA + 1))))
+
+    return F.transform(at, best)
+
+
+def span_statements(docs: DataFrame, templates: dict[str, str], idf: dict[str, float], threshold: float) -> DataFrame:
+    """(doc_id, path, license, score): all licences that spans of whole texts state, wherever lines end.
+
+    Where spans overlap only the best one states; ties go to the first name.
+    """
+    passages = _passages(templates, idf)
+    low, any_named = F.lower("text"), F.lit(False)
+    for _, _, must, _ in passages:  # as parts of words first, which is cheap
+        held = F.lit(True)
+        for w in must:
+            held &= low.contains(w)
+        any_named |= held
+    firsts = sorted({must[0] for _, _, must, _ in passages})
+    rows = docs.filter(any_named).select("doc_id", "path", terms_of(F.col("text")).alias("terms"))
+    rows = rows.filter(F.arrays_overlap("terms", F.array(*map(F.lit, firsts))))
+    ordered = sorted(passages, key=lambda x: x[0])
+    spans = F.concat(*(_spans(F.col("terms"), place, x) for place, x in enumerate(ordered)))
+    rows = rows.select("doc_id", "path", F.filter(spans, lambda x: x.score >= threshold).alias("spans"))
+    spans = F.reverse(F.array_sort("spans"))
+    kept = F.aggregate(
+        spans,
+        F.filter(spans, lambda x: F.lit(False)),
+        lambda kept, x: F.when(F.exists(kept, lambda y: (y.begin <= x.end) & (x.begin <= y.end)), kept).otherwise(F.concat(kept, F.array(x))),
+    )
+    rows = rows.select("doc_id", "path", F.explode(kept).alias("x"))
+    return rows.select("doc_id", "path", "x.license", "x.score")
+
+
 def statements(docs: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """(doc_id, path, license, score): each document's best line that reaches the threshold."""
+    """(doc_id, path, license, score, licenses): each document's best line that reaches the threshold, or else its best
+    span, and all licences that it states."""
     counts = template_terms(templates)
     vocabulary = sorted({w for c in counts.values() for w in c})
     lines = docs.select("doc_id", "path", F.explode(F.split("text", "\n")).alias("line"))
@@ -96,8 +188,15 @@ def statements(docs: DataFrame, templates: dict[str, str], threshold: float) ->
     ]
     per_line = F.array(*cosines)
     best = near.select("doc_id", "path", F.array_max(per_line).alias("best")).filter(F.col("best.score") >= threshold)
-    best = best.groupBy("doc_id", "path").agg(F.max("best").alias("best"))
-    return best.select("doc_id", "path", "best.license", "best.score")
+    by_line = best.select("doc_id", "path", F.struct(F.lit(True).alias("line"), "best.*").alias("best"))
+    spans = span_statements(docs, templates, idf, threshold)
+    order = F.lit(0)
+    for place, name in enumerate(sorted(counts)):
+        order = F.when(F.col("license") == name, -place).otherwise(order)
+    by_span = F.struct(F.lit(False).alias("line"), "score", order.alias("order"), "license")
+    every = by_line.unionByName(spans.select("doc_id", "path", by_span.alias("best")))
+    every = every.groupBy("doc_id", "path").agg(F.max("best").alias("best"), F.array_sort(F.collect_set("best.license")).alias("licenses"))
+    return every.select("doc_id", "path", "best.license", "best.score", "licenses")
 
 
 def _cosine(c: Counter, idf: dict[str, float]) -> Column:
@@ -122,7 +221,7 @@ def above(path: Column) -> Column:
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, path, license, score, inherited_from) per document of ``docs`` (doc_id, path, text)."""
+    """(doc_id, path, license, score, inherited_from, licenses) per document of ``docs`` (doc_id, path, text)."""
     files = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"),
         F.col("text").cast("string").alias("text"),
@@ -141,10 +240,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     wanted = names.select("dir").distinct().select("dir", F.posexplode(above(F.col("dir"))).alias("steps", "of"))
     nearest = wanted.join(holders, "of").groupBy("dir").agg(F.min(F.struct("steps", "license", "of")).alias("given"))
 
-    stated = found.select(F.col("doc_id").alias("d"), F.col("path").alias("p"), F.col("license").alias("own"), "score")
+    stated = found.select(F.col("doc_id").alias("d"), F.col("path").alias("p"), F.col("license").alias("own"), "score", "licenses")
     rows = names.join(stated, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("path") == F.col("p")), "left")
     rows = rows.join(nearest, "dir", "left")
     return rows.select(
         "doc_id", "path", F.coalesce("own", "given.license").alias("license"), "score",
-        F.when(F.col("own").isNull(), F.col("given.of")).alias("inherited_from"),
+        F.when(F.col("own").isNull(), F.col("given.of")).alias("inherited_from"), "licenses",
     )

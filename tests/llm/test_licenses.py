@@ -78,3 +78,20 @@ def test_no_line_is_lost_by_the_telling_terms():
     for c in counts.values():
         rest = sum((n * idf[w]) ** 2 for w, n in c.items() if w not in telling)
         assert rest < 0.7**2 * sum((n * idf[w]) ** 2 for w, n in c.items())
+
+
+def test_statements_beside_other_words_in_a_large_table(spark):
+    texts = {
+        1: ("Copyright 2024 Jane Doe. Released under the MIT License.", ["MIT"]),
+        2: ("some prose about many things and at its end: licensed under the Apache License, Version 2.0, see there", ["Apache-2.0"]),
+        3: ("Licensed under the well known Apache License, Version 2.0.", ["Apache-2.0"]),
+        4: ("# This work is licensed under the GNU General\n# Public License, version 3.", ["GPL-3.0"]),
+        5: ("Released under the MIT License.\nmore\nReleased under the ISC License.", ["ISC", "MIT"]),
+        6: ("Released under the Foo License.", None),
+        7: ("permit limits of the license", None),
+    }
+    rows = [(d, f"p{d}/x", t) for d, (t, _) in texts.items()]
+    filler = [(1000 + d, "z/x", "\n".join(f"under the {i} is of public" for i in range(200))) for d in range(100)]
+    frame = spark.createDataFrame(rows + filler, "doc_id long, path string, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(frame).filter("doc_id < 1000").collect()}
+    assert got == {d: x for d, (_, x) in texts.items()}
