@@ -42,4 +42,37 @@ with rules(rule_host, rule_path, rule_verdict) as (
 select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict from fits where place = 1
 """
 
-ORACLES: dict[str, str] = {"op6_url_rules": URL_RULES, "op7_line_dedup": LINE_DEDUP}
+LEXICAL = r"""
+with terms as (
+  select doc_id, row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) as term
+  from (select doc_id, text, row_number() over () as row from documents)
+), sizes as (
+  select row, count(*)::bigint as n from terms group by row
+), totals as (
+  select count(*)::bigint as docs, sum(n)::bigint as words from sizes
+), tfs as (
+  select row, doc_id, term, count(*)::bigint as tf from terms group by row, doc_id, term
+), weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from tfs, totals group by term, docs
+), asked as (
+  select item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) as term
+  from benchmark
+), scored as (
+  select item_id, row, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words))))::bigint as score
+  from asked join tfs using (term) join weights using (term) join sizes using (row), totals
+  group by item_id, row, doc_id
+), ranked as (
+  select item_id, doc_id, score,
+    row_number() over (partition by item_id order by score desc, doc_id nulls first)::integer as rank
+  from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op6_url_rules": URL_RULES, "op7_line_dedup": LINE_DEDUP, "op13_lexical": LEXICAL}

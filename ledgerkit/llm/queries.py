@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.llm import ann, decontaminate, grammar, licenses, linededup, neardup, packing, quality, toxicity, urlrules
+from ledgerkit.llm import (
+    ann,
+    decontaminate,
+    grammar,
+    lexical,
+    licenses,
+    linededup,
+    neardup,
+    packing,
+    pieces,
+    quality,
+    toxicity,
+    urlrules,
+    variants,
+)
 from ledgerkit.llm.scratch import scratch_path, ship_package
 
 #: The rules of the URL query.
@@ -98,3 +112,25 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False, end_id=2)
+
+
+@register
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, model = table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.decode_pieces(pieces.encode_pieces(docs, model).select("doc_id", "ids"), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), min_chars=7, min_count=2, times=10)
+
+
+@register
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
