@@ -37,7 +37,7 @@ from ledgerkit.llm.words import IS_MARK, buffers, text_slices, words
 #: Terms, repeats included, of a block of items: 8 bytes each.
 ITEM_TERMS = 1 << 20
 #: Counts of terms (postings) of a block of documents, and the documents of a branch that is not split further.
-BLOCK_POSTINGS, LEAF = 1 << 21, 32
+BLOCK_POSTINGS, LEAF = 1 << 19, 32
 #: Groups in which the tasks' results meet first.
 MEETINGS = 64
 
@@ -102,8 +102,8 @@ class DocumentTree:
         order = np.array(sorted(range(len(ids)), key=lambda d: paths[4 * bounds[d] : 4 * bounds[d + 1]]), np.int64)
         at = ranges(bounds[order], size[order])
         self.ids, self.factor = ids[order], factor[order]
-        self.terms, self.counts = terms[at], counts[at]
-        self.gains = gain(self.counts, np.repeat(self.factor, size[order]))
+        self.terms, self.counts = terms[at].astype(np.int32), counts[at]
+        self.gains = gain(self.counts, np.repeat(self.factor, size[order])).astype(np.int32)  # a million at most
         self.bounds = np.concatenate([[0], np.cumsum(size[order])])
         self._grow()
         self._summarise()
@@ -169,6 +169,7 @@ class DocumentTree:
             self.lowest[parent[me]] = min(self.lowest[parent[me]], self.lowest[me])
         width = len(self.first)
         keys, most = self._largest(self.terms.astype(np.int64) * width + node, self.counts)
+        del node, self.counts
         levels, k, m = [(keys, most)], keys, most
         while len(k):
             term, at = np.divmod(k, width)
@@ -177,7 +178,7 @@ class DocumentTree:
             levels.append((k, m))
         keys, most = self._largest(*(np.concatenate(x) for x in zip(*levels, strict=True)))
         self.by_term, self.at_node = np.divmod(keys, width)
-        self.most = gain(most, self.lowest[self.at_node])
+        self.most = gain(most, self.lowest[self.at_node]).astype(np.int32)
 
     @staticmethod
     def _largest(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +193,7 @@ class DocumentTree:
         """For every node, what no document below it can exceed."""
         out = np.zeros(len(self.first), np.int64)
         begin, end = np.searchsorted(self.by_term, terms), np.searchsorted(self.by_term, terms, "right")
-        for a, b, weight in zip(begin.tolist(), end.tolist(), weights.tolist(), strict=True):
+        for a, b, weight in zip(begin.tolist(), end.tolist(), weights, strict=True):
             out[self.at_node[a:b]] += weight * self.most[a:b]  # a term comes once for each node
         return out
 
