@@ -10,21 +10,20 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ledgerkit.llm import grammar, packing, queries
+from ledgerkit.llm import grammar, packing, queries, tokens
 from ledgerkit.llm.tokens import WordEncoder, encoder
 
 BYTES, WORDS = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ODD = [
     "", None, " a", "a  b", "a\n\nb\t c", "don't x'll 12 3a", "a b", "x\x01 \x02y, a\x02", "<|endoftext|> hi", "a\n",
+    "a <|endoftext|> b", "x<|ENDOFTEXT|><|startoftext|>y",
     "Ünï Straße,ok", "hé 中文 test", "—x “q” ɐ ǅ İstanbul ΑΣ Σ", "é, e", "a. b.\nC, d!! (e)", "\r\n", "x　, y", "ok,\x85no",
 ]
 
 
 @lru_cache
 def tokenizer(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 def whole(path, texts):
@@ -40,8 +39,37 @@ def test_ids_are_those_of_whole_texts(path, space):
     assert found.ids.tolist() == [i for x in expected for i in x]
 
 
+@pytest.mark.parametrize("shared", [0, 1])
+def test_pieces_that_share_a_hash(monkeypatch, shared):
+    """Any two hashes that meet only cost time."""
+    real = tokens.piece_hashes
+
+    def poor(pieces):
+        first, second = real(pieces)
+        return (first % np.uint64(7) if not shared else first * 0, second)
+
+    monkeypatch.setattr(tokens, "piece_hashes", poor)
+    enc = WordEncoder(BYTES, True)
+    for texts in (["a b"], ["c d"], ODD):
+        found, expected = enc.encode(pa.array(texts)), whole(BYTES, texts)
+        assert found.ids.tolist() == [i for x in expected for i in x]
+
+
+def test_a_full_cache_starts_anew(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 40)
+    enc = WordEncoder(WORDS, False)
+    for i in range(30):
+        texts = [f"word{i} and w{j}" for j in range(10)]
+        expected = whole(WORDS, texts)
+        assert enc.encode(pa.array(texts)).ids.tolist() == [i for x in expected for i in x]
+        assert len(enc.counts) <= 40
+
+
+PARTS = st.sampled_from([*"ab'A.,! \n\té́ \x02<|1中", "<|endoftext|>", "<|startoftext|>"])
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text("ab'A.,! \n\té́ \x02<|1中", max_size=12), min_size=1, max_size=4))
+@given(st.lists(st.lists(PARTS, max_size=12).map("".join), min_size=1, max_size=4))
 def test_ids_of_any_text(texts):
     for path, space in ((BYTES, True), (WORDS, False)):
         found = encoder(path, space).encode(pa.array(texts))
