@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerkit.operators.membership import split_by_filter
 from ledgerkit.operators.project import quoted
 
 
@@ -17,14 +18,24 @@ def _unmatched(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
     return keyed.unionAll(rows.filter(quoted(key).isNull()))
 
 
-def anti_parents(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """Parent rows no child refers to."""
-    return _unmatched(parents, children, key)
+def _unmatched_by_filter(rows: DataFrame, others: DataFrame, key: str, filter_bytes: int) -> DataFrame:
+    """The same with a Bloom filter of the other keys first: only rows that may have a match move to the join."""
+    parts = split_by_filter(rows, others, key, filter_bytes)
+    if parts is None:
+        return _unmatched(rows, others, key)
+    suspects, missing = parts
+    keys = others.filter(quoted(key).isNotNull()).select(quoted(key)).distinct()
+    return missing.unionAll(suspects.join(keys, key, "left_anti").select(*map(quoted, rows.columns)))
+
+
+def anti_parents(parents: DataFrame, children: DataFrame, key: str, filter_bytes: int = 0) -> DataFrame:
+    """Parent rows no child refers to. With ``filter_bytes``, a filter up to that size keeps certain rows from moving."""
+    return _unmatched_by_filter(parents, children, key, filter_bytes) if filter_bytes else _unmatched(parents, children, key)
 
 
-def anti_orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Child rows whose parent does not exist; a null key is an orphan."""
-    return _unmatched(children, parents, key)
+def anti_orphans(children: DataFrame, parents: DataFrame, key: str, filter_bytes: int = 0) -> DataFrame:
+    """Child rows whose parent does not exist; a null key is an orphan. ``filter_bytes`` as in ``anti_parents``."""
+    return _unmatched_by_filter(children, parents, key, filter_bytes) if filter_bytes else _unmatched(children, parents, key)
 
 
 def key_balance(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
@@ -37,7 +48,25 @@ def key_balance(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     sides = parents.select(quoted(key).alias("key"), F.lit(1).alias("p"), F.lit(0).alias("c")).unionAll(
         children.select(quoted(key).alias("key"), F.lit(0).alias("p"), F.lit(1).alias("c"))
     )
-    per_key = sides.groupBy("key").agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
+    return _balance_of(sides.groupBy("key").agg(F.sum("p").alias("p"), F.sum("c").alias("c")))
+
+
+def key_balance_in_place(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """``key_balance`` of two tables that are bucketed alike by ``key``: counted and joined where the rows lie."""
+    p = parents.groupBy(quoted(key).alias("key")).agg(F.count("*").alias("p"))
+    c = children.groupBy(quoted(key).alias("key")).agg(F.count("*").alias("c"))
+    both = p.join(c.withColumnRenamed("key", "child_key"), F.col("key") == F.col("child_key"), "full_outer")
+    return _balance_of(
+        both.select(
+            F.coalesce("key", "child_key").alias("key"),
+            F.coalesce("p", F.lit(0)).alias("p"),
+            F.coalesce("c", F.lit(0)).alias("c"),
+        )
+    )
+
+
+def _balance_of(per_key: DataFrame) -> DataFrame:
+    """One row from rows on both sides per key; null keys match nothing."""
     known = F.col("key").isNotNull()
 
     def total(column: str, condition=None):

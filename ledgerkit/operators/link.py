@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerkit.operators.hot_keys import Hot, copied, salted
 from ledgerkit.operators.project import quoted
 from ledgerkit.spec import ColumnSpec, ParentLink, TableSpec
 
@@ -41,19 +42,26 @@ def parent_lookup(parents: DataFrame, link: ParentLink, on_duplicate: str = "fan
     return pairs.groupBy(link.alternate).agg(smallest.alias(link.key))
 
 
+SALT = "__salt"
+
+
 def lookup_left(
-    children: DataFrame, parents: DataFrame, link: ParentLink, on_duplicate: str = "fan_out"
+    children: DataFrame,
+    parents: DataFrame,
+    link: ParentLink,
+    on_duplicate: str = "fan_out",
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Left join that fills the key from the alternate key; unmatched children keep a null key.
 
-    A hot alternate key is left to the adaptive skew join, which can split the child side of a left
-    join; rows without one match nothing and go round the join.
+    The children are read once. Rows without an alternate key match nothing and are spread over all tasks, and so are
+    the rows of the ``hot`` numbers (``hot_keys.find_hot``), whose parents are copied to each of their tasks.
     """
     lookup = parent_lookup(parents, link, on_duplicate)
-    number, columns = quoted(link.alternate), [quoted(c) for c in children.columns]
-    joined = children.filter(number.isNotNull()).join(lookup, link.alternate, "left").select(quoted(link.key), *columns)
-    no_key = F.lit(None).cast(lookup.schema[link.key].dataType).alias(link.key)
-    return joined.unionAll(children.filter(number.isNull()).select(no_key, *columns))
+    columns = [quoted(c) for c in children.columns]
+    left = salted(children, link.alternate, hot or {}, SALT)
+    right = copied(lookup, link.alternate, hot or {}, SALT)
+    return left.join(right, [link.alternate, SALT], "left").select(quoted(link.key), *columns)
 
 
 def lookup_fan_out(children: DataFrame, parents: DataFrame, link: ParentLink) -> DataFrame:
@@ -79,8 +87,9 @@ def link_to_parent(
     spec: TableSpec,
     link: ParentLink,
     on_duplicate: str = "fan_out",
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Typed child rows with the parent key present, in the column order of ``spec``."""
     if choose_link(typed_children.columns, link) == "lookup":
-        typed_children = lookup_left(typed_children, parents, link, on_duplicate)
+        typed_children = lookup_left(typed_children, parents, link, on_duplicate, hot)
     return typed_children.select(*[quoted(c) for c in spec.column_names])

@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 from ledgerkit.spec import ColumnSpec as C
-from ledgerkit.spec import ParentLink, TableSpec
+from ledgerkit.spec import ParentLink, Roles, TableSpec
+
+# Columns shown as samples, keys checked in raw lines, and columns whose distinct values are counted.
+RAW_LINE_KEYS = ("InvoiceLineId", "InvoiceId", "InvoiceNumber")
+INVOICE_SAMPLE = ("InvoiceId", "InvoiceNumber", "InvoiceDate", "TaxPercentage", "Currency")
+LINE_SAMPLE = ("InvoiceLineId", "InvoiceId", "InvoiceNumber", "Description", "UnitPrice", "Quantity")
+DISTINCT_INVOICE_COLUMNS = {
+    "distinct_invoices": "InvoiceId",
+    "distinct_customers": "CustomerKey",
+    "distinct_providers": "ProviderId",
+}
 
 # Column names, types and order of both typed tables, their keys and watched columns.
 INVOICES = TableSpec(
     name="invoices",
     key="InvoiceId",
     required=("InvoiceId", "InvoiceNumber", "CustomerKey", "InvoiceDate"),
+    roles=Roles(
+        date="InvoiceDate",
+        category="BillingCountryCode",
+        distinct=DISTINCT_INVOICE_COLUMNS,
+        watched=("InvoiceDate",),
+        sample=INVOICE_SAMPLE,
+    ),
     columns=(
         C("InvoiceId", "long"),
         C("InvoiceNumber", "long"),
@@ -34,6 +51,14 @@ LINES = TableSpec(
     name="invoice_lines",
     key="InvoiceLineId",
     required=("InvoiceId", "InvoiceLineId", "StartDate", "EndDate"),
+    roles=Roles(
+        quantity="Quantity",
+        rate="TaxPercentage",
+        start="StartDate",
+        end="EndDate",
+        watched=("InvoiceId",),
+        sample=LINE_SAMPLE,
+    ),
     columns=(
         C("InvoiceId", "long"),
         C("InvoiceLineId", "long"),
@@ -52,12 +77,3 @@ LINES = TableSpec(
 )
 
 LINK = ParentLink(key="InvoiceId", alternate="InvoiceNumber")
-RAW_LINE_KEYS = ("InvoiceLineId", "InvoiceId", "InvoiceNumber")
-LINE_KEYS = ("InvoiceLineId", "StartDate", "EndDate")
-INVOICE_SAMPLE = ("InvoiceId", "InvoiceNumber", "InvoiceDate", "TaxPercentage", "Currency")
-LINE_SAMPLE = ("InvoiceLineId", "InvoiceId", "InvoiceNumber", "Description", "UnitPrice", "Quantity")
-DISTINCT_INVOICE_COLUMNS = {
-    "distinct_invoices": "InvoiceId",
-    "distinct_customers": "CustomerKey",
-    "distinct_providers": "ProviderId",
-}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 
 # The file dialect, formats and sizes whose results must match.
 DELIMITER = ";"
@@ -85,21 +86,46 @@ class ColumnSpec:
         return self.source or self.name
 
 
+@dataclass(frozen=True)
+class Roles:
+    """What a table's columns mean to the reports; a role without a column leaves its report out.
+
+    ``date``: counted by year, its range and raw layouts reported. ``category``: its most frequent values.
+    ``distinct``: columns whose values are counted, by output name. ``quantity`` is added up, ``rate`` averaged, ``start``
+    and ``end`` span a period. ``watched``: nulls here are values lost in parsing or linking.
+    """
+
+    date: str | None = None
+    category: str | None = None
+    distinct: Mapping[str, str] = field(default_factory=dict)
+    quantity: str | None = None
+    rate: str | None = None
+    start: str | None = None
+    end: str | None = None
+    watched: tuple[str, ...] = ()
+    sample: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str
     columns: tuple[ColumnSpec, ...]
     key: str
     required: tuple[str, ...] = ()
+    roles: Roles = field(default_factory=Roles)
 
     @property
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    def source_of(self, column: str) -> str:
+        """The raw column a typed one comes from."""
+        return next((c.source_name for c in self.columns if c.name == column), column)
+
     def replacing(self, old: str, new: ColumnSpec) -> TableSpec:
         """The same table with one column exchanged, e.g. the parent key for its alternate key."""
         columns = tuple(new if c.name == old else c for c in self.columns)
-        return TableSpec(self.name, columns, self.key, self.required)
+        return replace(self, columns=columns)
 
 
 @dataclass(frozen=True)
@@ -118,7 +144,8 @@ class JobConfig:
     ``repair`` is the header rule (``strict`` or ``legacy``), ``on_duplicate`` the alternate-key rule
     (``fan_out``, ``min`` or ``error``). Files are read by many tasks each unless ``dialect`` says otherwise;
     ``rebalance`` spreads the rows of files read whole right after the scan. A large load should raise
-    ``max_records_per_file``, or it writes very many files.
+    ``max_records_per_file``, or it writes very many files. Beside the two tables a run writes the records that do not fit
+    their file's header, as ``<table>_rejects``, and the profile of the raw text, as ``<parents_table>_raw_profile``.
     """
 
     parents_path: str

@@ -165,6 +165,31 @@ def lines(spark: SparkSession, sf_dir: str, lost_parents: bool = False) -> DataF
     )
 
 
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as export text: another pair of tables than invoices and lines."""
+    return table(spark, sf_dir, "customer").select(
+        _text("c_custkey").alias("CustomerId"),
+        F.concat(F.lit("C"), F.lpad(_text("c_custkey"), 9, "0")).alias("CustomerNumber"),
+        F.concat(F.lit('"'), "c_name", F.lit('"\n')).alias("Name"),
+        F.when(~_every("c_custkey", NO_COUNTRY_EVERY), F.col("c_mktsegment")).alias("Segment"),
+        _comma("c_acctbal").alias("Balance"),
+        _text("c_nationkey").alias("NationId"),
+    )
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as export text; every few have lost their customer."""
+    lost = _every("o_orderkey", LOST_PARENT_EVERY)
+    key = F.when(lost, F.col("o_custkey") + LOST_PARENT_OFFSET).otherwise(F.col("o_custkey"))
+    return table(spark, sf_dir, "orders").select(
+        _text("o_orderkey").alias("OrderId"),
+        key.cast("string").alias("CustomerId"),
+        F.when(_every("o_orderkey", BLANK_DATE_EVERY), F.lit(" ")).otherwise(_european(F.col("o_orderdate"))).alias("Placed"),
+        _comma("o_totalprice").alias("Total"),
+        F.col("o_orderpriority").alias("Priority"),
+    )
+
+
 def _written_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """Write an export to the shared folder unless this application already has; return its path."""
     path = f"{shared_folder(spark)}/exports/{sf_dir.strip('/').replace('/', '_')}/{name}"

@@ -142,7 +142,115 @@ RAW_KEYS = f"""raw as (
     'EUR' as "Currency" from orders)"""
 
 
+def _counted(name: str, relation: str, columns: list[str]) -> str:
+    """Rows read, rejected and written of a table, and its nulls, as a run counts them."""
+    parts = [
+        f"select '{name}' as table_name, '{m}' as measure, {v}::bigint as value from {relation}"
+        for m, v in (("rows_read", "count(*)"), ("rows_rejected", "0 * count(*)"), ("rows_written", "count(*)"))
+    ]
+    parts += [f"""select '{name}', 'null_{c}', count(*) filter (where "{c}" is null) from {relation}""" for c in columns]
+    return " union all ".join(parts)
+
+
+def _profiled(name: str, relation: str, columns: list[str]) -> str:
+    return " union all ".join(
+        f"""select '{name}' as table_name, 'blank' as measure, '{c}' as column_name, null::varchar as detail,
+        (count(*) filter (where "{c}" is null))::varchar as value from {relation}"""
+        for c in columns
+    )
+
+
+RAW_FILE = f"""raw_file as (
+  select o_orderkey::varchar as "InvoiceId", (o_orderkey + {NUMBER_OFFSET})::varchar as "InvoiceNumber",
+    o_custkey::varchar as "CustomerKey", nullif({RAW_DATE}, '') as "InvoiceDate" from orders)"""
+
+RAW_DATE_PROFILE = """
+  select 'invoices', 'smallest', 'InvoiceDate', null, min("InvoiceDate") from raw_file union all
+  select 'invoices', 'largest', 'InvoiceDate', null, max("InvoiceDate") from raw_file union all
+  select 'invoices', 'length', 'InvoiceDate', length("InvoiceDate")::varchar, count(*)::varchar from raw_file
+    group by length("InvoiceDate") union all
+  select 'invoices', 'parsed_as', 'InvoiceDate', method,
+    (select case when method = 'two_digit_hour' then 0 else count("InvoiceDate") end from raw_file)::varchar
+    from (values ('two_digit_hour'), ('any_hour'), ('timestamp_any_hour'), ('strip_then_day'),
+      ('strip_midnight_then_day')) m(method)"""
+
+HOT_TABLES = f"""hot_lines as (
+  select case when "InvoiceNumber" % 10 < 3 then 77 else "InvoiceNumber" end as "InvoiceNumber", "InvoiceLineId", "UnitPrice",
+    "StartDate" from numbered_lines),
+hot_parents as (
+  select min("InvoiceId") as "InvoiceId", number as "InvoiceNumber" from (
+    select "InvoiceId", case when "InvoiceNumber" % 10 < 3 then 77 else "InvoiceNumber" end as number from invoices)
+  group by number)"""
+
+CUSTOMER_RUN = f"""with invoices as (select c_custkey as "InvoiceId", c_nationkey from customer), lines as (
+  select case when o_orderkey % {LOST_PARENT_EVERY} = 0 then o_custkey + {LOST_PARENT_OFFSET} else o_custkey end as "InvoiceId",
+    o_orderkey, case when o_orderkey % {BLANK_DATE_EVERY} <> 0 then o_orderdate::date end as placed from orders), {BALANCE}
+select balance.*, {RATES}, {PARITY}, {STATUS},
+  (select count(distinct c_nationkey) from invoices) as distinct_nations,
+  (select sum(o_orderkey) from lines)::bigint as total_quantity,
+  (select min(placed) from lines) as min_start, (select max(placed) from lines) as max_end
+from balance"""
+
+INVOICE_TYPES = (
+    ("InvoiceId", "bigint"),
+    ("InvoiceNumber", "bigint"),
+    ("ProviderId", "bigint"),
+    ("CustomerKey", "bigint"),
+    ("InvoiceDate", "date"),
+    ("Currency", "string"),
+    ("IsCreditNote", "bigint"),
+)
+
+
+def _column_statistics() -> str:
+    def bound(function: str, column: str, kind: str) -> str:
+        return "null::varchar" if kind == "string" else f'{function}("{column}")::varchar'
+
+    return f"with {INVOICES} " + " union all ".join(
+        f"""select {i}::bigint as position, '{c}' as column_name, '{t}' as data_type,
+        count(*) filter (where "{c}" is null) as null_count, {bound("min", c, t)} as min_value,
+        {bound("max", c, t)} as max_value from invoices"""
+        for i, (c, t) in enumerate(INVOICE_TYPES, 1)
+    )
+
+
 def oracle_sql() -> dict[str, str]:
+    sql = _base_sql()
+    return sql | {
+        "overwrite_from_itself": f"with {LOST_LINES} select * from lines where \"InvoiceId\" < {LOST_PARENT_OFFSET}",
+        "overwrite_failed": sql["overwrite_schema"],
+        "column_statistics": _column_statistics(),
+        "footer_facts": "select count(*) as row_count, "
+        + ", ".join(f"{f}({c}) as {f}_{c}" for c in ("l_orderkey", "l_partkey", "l_quantity") for f in ("min", "max"))
+        + " from lineitem",
+        "match_rates_bucketed": sql["match_rates"],
+        "lookup_left_hot": f"""with {INVOICES}, {LOST_LINES}, {NUMBERED_LINES}, {HOT_TABLES}
+            select p."InvoiceId", l.* from hot_lines l left join hot_parents p on l."InvoiceNumber" = p."InvoiceNumber" """,
+        "anti_orphans_filtered": sql["anti_orphans"],
+        "anti_parents_filtered": sql["anti_parents"],
+        "multi_distinct_bitmaps": sql["multi_distinct"],
+        "distinct_by_year_bitmaps": f"with {INVOICES} "
+        + " union all ".join(
+            f"""select year("InvoiceDate")::bigint as year, '{c}' as column_name, count(distinct "{c}") as distinct_count
+            from invoices group by 1"""
+            for c in ("CustomerKey", "ProviderId")
+        ),
+        "run_counts": f"with {INVOICES}, {LINES} "
+        + _counted("invoices", "invoices", ["CustomerKey", "InvoiceDate", "InvoiceId", "InvoiceNumber"])
+        + " union all "
+        + _counted("invoice_lines", "lines", ["EndDate", "InvoiceId", "InvoiceLineId", "StartDate"]),
+        "raw_profile": f"with {RAW_FILE}, {LINES} "
+        + _profiled("invoices", "raw_file", ["InvoiceId", "InvoiceNumber", "CustomerKey", "InvoiceDate"])
+        + " union all "
+        + _profiled("invoice_lines", "lines", ["InvoiceId", "InvoiceLineId", "StartDate", "EndDate"])
+        + f" union all {RAW_DATE_PROFILE}",
+        "rejected_records": """select o_orderkey as invoice_id, case when o_orderkey % 19 = 0 then 15 else 17 end::bigint
+            as fields from orders where o_orderkey % 19 = 0 or o_orderkey % 23 = 0""",
+        "full_run_customers": CUSTOMER_RUN,
+    }
+
+
+def _base_sql() -> dict[str, str]:
     typed_columns = [
         "InvoiceId", "InvoiceNumber", "ProviderId", "CustomerKey", "InvoiceDate", "TaxPercentage", "Currency",
         "ExchangeRate", "BillingAddressee", "BillingStreet", "BillingStreetNumber", "BillingPostalCode",

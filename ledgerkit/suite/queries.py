@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerkit.functions import text
-from ledgerkit.operators import integrity, link, profile, project, report
+from ledgerkit.operators import hot_keys, integrity, link, membership, profile, project, report
 from ledgerkit.operators.project import apply_spec, clean_columns
 from ledgerkit.plans import invoices as I
 from ledgerkit.plans import job
-from ledgerkit.sources import tables
+from ledgerkit.sources import footers, statistics, tables
 from ledgerkit.sources.delimited import read_delimited, repair_header
-from ledgerkit.spec import Dialect, JobConfig
+from ledgerkit.spec import ColumnSpec, Dialect, JobConfig, ParentLink, Roles, TableSpec
 from ledgerkit.suite import exports as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +125,57 @@ def overwrite_schema(spark: SparkSession, sf: str) -> DataFrame:
     return _overwrite(spark, sf, E.invoices(spark, sf), name)
 
 
+@query
+def overwrite_from_itself(spark: SparkSession, sf: str) -> DataFrame:
+    """The table is read by the query that replaces it."""
+    name = E.table_name(spark, sf, "rewritten")
+    written = _overwrite(spark, sf, E.lines(spark, sf, lost_parents=True), name)
+    return _overwrite(spark, sf, written.filter(F.col("InvoiceId") < E.LOST_PARENT_OFFSET), name)
+
+
+@query
+def overwrite_failed(spark: SparkSession, sf: str) -> DataFrame:
+    """A write that fails half way: the rows and columns from before are there."""
+    name = E.table_name(spark, sf, "survivor")
+    _overwrite(spark, sf, E.invoices(spark, sf), name)
+    lines = E.lines(spark, sf)
+    broken = F.when(F.col("InvoiceLineId") == 3, F.raise_error(F.lit("a bad row"))).otherwise(F.col("InvoiceLineId"))
+    try:
+        _overwrite(spark, sf, lines.withColumn("InvoiceLineId", broken), name)
+    except PySparkException:
+        return tables.table_scan(spark, name)
+    raise AssertionError("the broken rows were written")
+
+
+@query
+def column_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """What the catalog holds after a write, without its estimates of distinct values."""
+    name = E.table_name(spark, sf, "analyzed")
+    _overwrite(spark, sf, E.invoices(spark, sf), name)
+    statistics.analyze(spark, name)
+    found = statistics.column_statistics(spark, name)
+    return found.select(
+        F.col("position").cast("bigint").alias("position"), "column_name", "data_type", "null_count", "min_value", "max_value"
+    )
+
+
+@query
+def footer_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and ranges of the line file: keys from the footers, quantities read."""
+    return footers.footer_facts(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_partkey", "l_quantity"])
+
+
+@query
+def match_rates_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Both tables written bucketed by key, then compared where their rows lie."""
+    buckets = (8, ("InvoiceId",))
+    parents = _overwrite(spark, sf, E.invoices(spark, sf), E.table_name(spark, sf, "bucketed_heads"), buckets=buckets)
+    lines = E.lines(spark, sf, lost_parents=True)
+    children = _overwrite(spark, sf, lines, E.table_name(spark, sf, "bucketed_lines"), buckets=buckets)
+    balance = integrity.key_balance_in_place(parents, children, "InvoiceId")
+    return _rounded(integrity.with_match_rates(balance), "parent_match_pct", "child_match_pct")
+
+
 #: Records in a file, well under the rows of the smallest table that is tested.
 SMALL_FILE = 1_000
 
@@ -241,6 +294,36 @@ def lookup_left_min(spark: SparkSession, sf: str) -> DataFrame:
     return link.lookup_left(_numbered_lines(spark, sf), parents, I.LINK, on_duplicate="min")
 
 
+#: The number that three in ten rows of both tables carry in ``lookup_left_hot``.
+HOT_NUMBER = 77
+
+
+@query
+def lookup_left_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """One number on three tenths of both tables: its lines are spread, its header is copied."""
+
+    def hot(number: str) -> Column:
+        return F.when(F.col(number) % 10 < 3, F.lit(HOT_NUMBER)).otherwise(F.col(number)).alias(number)
+
+    lines = _numbered_lines(spark, sf).select(hot("InvoiceNumber"), "InvoiceLineId", "UnitPrice", "StartDate")
+    parents = _numbered_parents(spark, sf).select("InvoiceId", hot("InvoiceNumber"))
+    frequent = hot_keys.find_hot(lines, "InvoiceNumber", few_rows=100)
+    return link.lookup_left(lines, parents, I.LINK, on_duplicate="min", hot=frequent)
+
+
+@query
+def anti_orphans_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """Orphans by a Bloom filter of the header keys: only lines that may have a header reach the join."""
+    lines = E.lines(spark, sf, lost_parents=True).select("InvoiceId", "InvoiceLineId", "Quantity")
+    return integrity.anti_orphans(lines, E.invoices(spark, sf), "InvoiceId", filter_bytes=membership.FILTER_BYTES)
+
+
+@query
+def anti_parents_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    invoices = E.invoices(spark, sf).select("InvoiceId", "CustomerKey", "InvoiceDate")
+    return integrity.anti_parents(invoices, E.lines(spark, sf), "InvoiceId", filter_bytes=membership.FILTER_BYTES)
+
+
 @query
 def anti_parents(spark: SparkSession, sf: str) -> DataFrame:
     invoices = E.invoices(spark, sf).select("InvoiceId", "CustomerKey", "InvoiceDate")
@@ -292,6 +375,21 @@ def multi_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return profile.distinct_counts(E.invoices(spark, sf), I.DISTINCT_INVOICE_COLUMNS)
 
 
+@query
+def multi_distinct_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Several key columns from one scan."""
+    return profile.distinct_counts_dense(E.invoices(spark, sf), I.DISTINCT_INVOICE_COLUMNS)
+
+
+@query
+def distinct_by_year_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers and providers of each year, merged from two loads of the headers."""
+    invoices, year = E.invoices(spark, sf), F.year("InvoiceDate").cast("bigint")
+    loads = [invoices.filter(F.col("InvoiceId") % 2 == part) for part in (0, 1)]
+    bitmaps = [profile.key_bitmaps(x, ["CustomerKey", "ProviderId"], {"year": year}) for x in loads]
+    return profile.count_bitmaps(profile.merge_bitmaps(*bitmaps))
+
+
 @query
 def line_stats(spark: SparkSession, sf: str) -> DataFrame:
     stats = report.child_stats(
@@ -448,7 +546,7 @@ def integrity_status(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    row = job.run_summary(E.invoices(spark, sf), E.lines(spark, sf), I.LINK)
+    row = job.run_summary(E.invoices(spark, sf), E.lines(spark, sf), I.LINK, I.INVOICES, I.LINES)
     return _rounded(row, "avg_tax", "parent_match_pct", "child_match_pct")
 
 
@@ -495,3 +593,82 @@ def full_run_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The line table a run writes."""
     return job.run(spark, job_config(spark, sf)).children
 
+
+
+@query
+def run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the run counted while writing."""
+    return job.run(spark, job_config(spark, sf)).written
+
+
+@query
+def raw_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of the raw text that the run writes beside its tables."""
+    return job.run(spark, job_config(spark, sf)).raw_profile
+
+
+@query
+def rejected_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of a run that have a field too few or too many: the key of each and its number of fields."""
+    uneven = job_config(spark, sf)
+    raw = E.raw_order_keys(spark, sf)
+    columns = [F.col(c) for c in I.INVOICES.column_names if c in raw.columns]
+    missing = [F.lit("") for c in I.INVOICES.column_names if c not in raw.columns]
+    # every 19th record lacks its last field, every 23rd has one more
+    key = F.col("InvoiceId").cast("bigint")
+    fields = F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in (*columns, *missing[:-1])])
+    tail = F.when(key % 19 == 0, F.lit("")).when(key % 23 == 0, F.lit(";;more")).otherwise(F.lit(";"))
+    header = ";".join([*[c for c in I.INVOICES.column_names if c in raw.columns], *[c for c in I.INVOICES.column_names if c not in raw.columns]])
+    head = spark.range(1).select(F.lit(header).alias("value"))
+    path = E.export_text(spark, sf, "uneven_heads", head.unionAll(raw.select(F.concat(fields, tail).alias("value"))).coalesce(1))
+    result = job.run(spark, replace(uneven, parents_path=path, parents_table=E.table_name(spark, sf, "uneven_heads")))
+    rejected = F.col(job.REJECTED)
+    return result.parent_rejects.select(
+        F.col("InvoiceId").cast("bigint").alias("invoice_id"), F.size(F.split(rejected, ";")).cast("bigint").alias("fields")
+    )
+
+
+#: Another pair of the given tables: customers and their orders.
+CUSTOMERS = TableSpec(
+    name="customers",
+    key="CustomerId",
+    required=("CustomerId", "CustomerNumber"),
+    columns=(
+        ColumnSpec("CustomerId", "long"),
+        ColumnSpec("CustomerNumber"),
+        ColumnSpec("Name"),
+        ColumnSpec("Segment"),
+        ColumnSpec("Balance", "double", decimal_comma=True),
+        ColumnSpec("Nation", "long", source="NationId"),
+    ),
+    roles=Roles(category="Segment", distinct={"distinct_nations": "Nation"}, watched=("Balance",)),
+)
+ORDERS = TableSpec(
+    name="orders",
+    key="OrderId",
+    required=("OrderId", "CustomerId", "Placed"),
+    columns=(
+        ColumnSpec("OrderId", "long"),
+        ColumnSpec("CustomerId", "long"),
+        ColumnSpec("Placed", "date"),
+        ColumnSpec("Total", "double", decimal_comma=True),
+        ColumnSpec("Priority"),
+    ),
+    roles=Roles(quantity="OrderId", start="Placed", end="Placed", watched=("Placed",)),
+)
+
+
+@query
+def full_run_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """The run on another pair of tables, by their specs alone."""
+    config = JobConfig(
+        parents_path=E.export(spark, sf, "customers", E.raw_customers(spark, sf), EXPORT),
+        children_path=E.export(spark, sf, "orders", E.raw_orders(spark, sf), EXPORT),
+        parents_table=E.table_name(spark, sf, "stg_customers"),
+        children_table=E.table_name(spark, sf, "stg_orders"),
+        parents=CUSTOMERS,
+        children=ORDERS,
+        link=ParentLink(key="CustomerId", alternate="CustomerNumber"),
+        location=f"{E.shared_folder(spark)}/tables",
+    )
+    return _rounded(job.run(spark, config).summary, "parent_match_pct", "child_match_pct")

@@ -1,10 +1,14 @@
 import dataclasses
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerkit.plans import job
 from ledgerkit.plans.invoices import INVOICES, LINES, LINK
-from ledgerkit.spec import Dialect, JobConfig
+from ledgerkit.session import shared_folder
+from ledgerkit.sources.folders import kept
+from ledgerkit.spec import ColumnSpec, Dialect, JobConfig, ParentLink, TableSpec
 
 HEADER = ";".join(INVOICES.column_names)
 HEADS = [
@@ -93,7 +97,84 @@ def test_legacy_repair_takes_the_first_column(spark, config, write_file):
     assert [r.InvoiceId for r in job.run(spark, legacy).children.collect()] == [1]
 
 
-def test_cached_frames_are_released(spark):
-    with job.cached(spark.range(5)) as df:
-        assert df.count() == 5 and df.storageLevel.useMemory
-    assert not df.storageLevel.useMemory
+def test_kept_frames_are_deleted(spark):
+    with kept(spark.range(5)) as df:
+        assert df.count() == 5 and df.inputFiles()
+        folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    with pytest.raises(RuntimeError), kept(spark.range(5)) as df:
+        folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+        raise RuntimeError
+    assert not os.path.exists(folder)
+
+
+def test_a_run_counts_while_it_writes(spark, config):
+    result = job.run(spark, config)
+    counts = {(r.table_name, r.measure): r.value for r in result.written.collect()}
+    assert counts["invoices", "rows_read"] == counts["invoices", "rows_written"] == result.parents.count() == 3
+    assert counts["invoice_lines", "rows_written"] == result.children.count() == 3
+    for name, table in (("invoices", result.parents), ("invoice_lines", result.children)):
+        for (owner, measure), value in counts.items():
+            if owner == name and measure.startswith("null_"):
+                assert value == table.filter(F.col(measure.removeprefix("null_")).isNull()).count()
+    assert counts["invoices", "null_InvoiceDate"] == 2
+    assert counts["invoices", "rows_rejected"] == counts["invoice_lines", "rows_rejected"] == 0
+    assert result.parent_rejects.count() == 0
+    assert [r.InvoiceId for r in result.parent_sample.collect()] and result.child_sample.count() == 3
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_records_that_do_not_fit_are_kept(spark, config, write_file, split):
+    rows = [HEADS[0], HEADS[1] + ";one too many", "3;102;8"]
+    path = write_file("\n".join([HEADER, *rows]) + "\n", "uneven.csv")
+    result = job.run(spark, dataclasses.replace(config, parents_path=path, dialect=Dialect(split=split)))
+    rejects = {r.InvoiceId: r[job.REJECTED] for r in result.parent_rejects.collect()}
+    assert rejects == {"2": rows[1], "3": rows[2]}
+    counts = {(r.table_name, r.measure): r.value for r in result.written.collect()}
+    assert (counts["invoices", "rows_read"], counts["invoices", "rows_rejected"]) == (3, 2)
+    assert result.parents.count() == 3  # padded or cut, as before
+
+
+def test_raw_profile(spark, config):
+    rows = {(r.table_name, r.measure, r.column_name, r.detail): r.value for r in job.run(spark, config).raw_profile.collect()}
+    assert rows["invoices", "blank", "InvoiceDate", None] == "1"
+    assert rows["invoice_lines", "blank", "InvoiceLineId", None] == "0"
+    assert rows["invoices", "smallest", "InvoiceDate", None] == "3/01/2020 0:00:00"
+    assert rows["invoices", "length", "InvoiceDate", "17"] == "1" and rows["invoices", "length", "InvoiceDate", None] == "1"
+    assert rows["invoices", "parsed_as", "InvoiceDate", "strip_then_day"] == "1"
+
+
+def test_a_bad_child_file_leaves_both_tables_and_no_scratch(spark, config, write_file):
+    before = job.run(spark, config)
+    heads, lines = before.parents.collect(), before.children.collect()
+    broken = write_file(LINE_HEADER + "\n" + LINE_ROWS[0] + '\n1;9;"never closed\n', "broken.csv")
+    other = write_file(HEADER + "\n" + HEADS[0] + "\n", "other.csv")
+    with pytest.raises(ValueError, match="never closed"):
+        job.run(spark, dataclasses.replace(config, parents_path=other, children_path=broken))
+    assert sorted(spark.table(config.parents_table).collect(), key=str) == sorted(heads, key=str)
+    assert sorted(spark.table(config.children_table).collect(), key=str) == sorted(lines, key=str)
+    scratch = f"{shared_folder(spark)}/scratch"
+    assert not os.path.isdir(scratch) or not os.listdir(scratch)
+
+
+def test_tables_without_roles(spark, tmp_path, write_file):
+    plain = TableSpec("a", (ColumnSpec("Id", "long"), ColumnSpec("No")), key="Id")
+    child = TableSpec("b", (ColumnSpec("Id", "long"), ColumnSpec("Line")), key="Line")
+    bare = JobConfig(
+        parents_path=write_file("Id;No\n1;x\n2;y\n", "a.csv"), children_path=write_file("No;Line\nx;1\nx;2\nz;3\n", "b.csv"),
+        parents_table="lk_test_a", children_table="lk_test_b", parents=plain, children=child, link=ParentLink("Id", "No"),
+        location=str(tmp_path),
+    )
+    with pytest.raises(Exception, match="(?i)cast|type|mismatch|No"):
+        job.run(spark, dataclasses.replace(bare, link=ParentLink("Missing", "Nowhere")))
+    numbered = dataclasses.replace(
+        bare, parents_path=write_file("Id;No\n1;10\n2;20\n", "c.csv"), children_path=write_file("No;Line\n10;1\n10;2\n30;3\n", "d.csv"),
+        parents=TableSpec("a", (ColumnSpec("Id", "long"), ColumnSpec("No", "long")), key="Id"),
+    )
+    result = job.run(spark, numbered)
+    assert sorted(map(tuple, result.children.collect()), key=str) == [(1, "1"), (1, "2"), (None, "3")]
+    assert result.by_year is None and result.top_countries is None and result.parse_failures.collect() == []
+    assert result.summary.first().orphans == 1
+    for name in ("lk_test_a", "lk_test_b"):
+        spark.sql(f"drop table if exists {name}")
