@@ -1,31 +1,36 @@
 """Licence statements by TF-IDF cosine to templates, inherited from the nearest directory above; DataFrame operations only.
 
-Every line of a whole text is compared with every template. Terms are runs of a-z and 0-9 after lower-casing; a term's
-IDF counts the corpus's lines. A line's vector has its template terms and, for every other word, one more coordinate of
-the highest IDF, so words around a statement lower its cosine. Only lines with one of the telling terms are compared:
-the others' terms hold too little of every template's length to reach the threshold (Cauchy-Schwarz), so none is lost.
-
-Spans of a text about as long as a template are compared too, wherever lines end: a notice beside other words, at the end
-of a line of prose or wrapped over lines states its licence in a corpus of any size, if the span has the words that name
-it. ``licenses`` has every licence that a document states, by name; null if it states none.
-
-A document's licence is that of its best line, or of its best span if no line reaches the threshold. One that states none takes the licence of its directory, or of the
-nearest directory above that has one. A directory's licence is that of its licence file: the stating document right in
-it with the smallest id, or, where documents lie only in its subdirectories, the one below it with the smallest id.
-
-Cases: null and empty texts state nothing; a null path is the empty directory; rows that repeat a ``doc_id`` and path
-are one document, judged by all their lines; null ids are one document of their directory; ties between templates go to
-the first name; other columns are not read; an empty table gives an empty result.
+Templates are short notices and the opening sentences of licences' own texts. Terms are runs of a-z and 0-9 after
+lower-casing; a term's IDF counts the corpus's lines. Every line of a whole text is compared with every template, and so
+are spans of a text about as long as a template, wherever lines end: a notice beside other words, at the end of a line of
+prose or wrapped over lines states its licence too. Both are scored alike: a word that is not the template's weighs as
+much as one of its words on average, so that the same words have the same score in a corpus of any size.
+
+A passage states a licence only with the words that name it, its version among them, and without words that name
+another one of its family: another version, or a licence that has no template, is not taken for the nearest one. Texts
+without such words are not compared at all.
+
+``licenses`` has every licence that a document states, by name; null if it states none. ``license`` is that of its best
+passage. A document that states none takes the licence of its directory, or of the nearest directory above that has one.
+A directory's licence is that of its licence file: the stating document right in it with the smallest id, or, where
+documents lie only in its subdirectories, the one below it with the smallest id.
+
+Cases: null and empty texts state nothing; long texts are searched whole; a null path is the empty directory; rows that
+repeat a ``doc_id`` and path are one document, judged by all their passages; null ids are one document of their directory;
+ties between templates go to the first name; other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerkit.llm.columns import settle
 from ledgerkit.llm.scratch import stored
 
 #: Short public licence notices, by licence.
@@ -43,12 +48,28 @@ TEMPLATES = {
     "Proprietary": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+#: First sentences of licences' own texts.
+OPENINGS = {
+    "BSD-3-Clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files.",
+}
 THRESHOLD = 0.75
-#: Words that a span must have to state a notice's licence; without them it may be any other licence.
+#: Words that a passage must have to state a template's licence, and words it must not have. A licence's
+#: own text follows the notice, after a ``#``.
 NAMING = {
     "Apache-2.0": "apache 2", "BSD-3-Clause": "bsd 3", "CC-BY-4.0": "attribution 4", "CC-BY-NC-4.0": "nc 4",
-    "CC-BY-SA-4.0": "sa 4", "GPL-3.0": "gnu general 3", "ISC": "isc", "LGPL-3.0": "lesser 3", "MIT": "mit",
-    "MPL-2.0": "mozilla 2", "Proprietary": "reserved rights", "Unlicense": "unencumbered",
+    "CC-BY-SA-4.0": "sa 4", "GPL-3.0": "gnu general 3", "ISC": "isc license", "LGPL-3.0": "lesser 3", "MIT": "mit license",
+    "MPL-2.0": "mozilla 2", "Proprietary": "reserved rights", "Unlicense": "unencumbered", "BSD-3-Clause#": "endorse neither",
+    "ISC#": "hereby distribute fee", "MIT#": "hereby charge obtaining",
+}
+OTHERS = {
+    "CC-BY-4.0": "nc nd sa noncommercial noderivatives noderivs sharealike", "CC-BY-NC-4.0": "nd sa noderivatives sharealike",
+    "CC-BY-SA-4.0": "nc nd noncommercial", "GPL-3.0": "affero lesser library", "LGPL-3.0": "affero", "Apache-2.0": "1",
+    "BSD-3-Clause": "2 4", "MPL-2.0": "1",
 }
 #: Words that a longer span may have between a passage's own.
 EXTRA = 3
@@ -63,87 +84,88 @@ def template_terms(templates: dict[str, str]) -> dict[str, Counter]:
     return {name: Counter(text.split()) for name, text in words.items()}
 
 
-def telling_terms(counts: dict[str, Counter], idf: dict[str, float], threshold: float) -> list[str]:
-    """Terms of which a line must have one to reach ``threshold``: the others are too small a part of every template."""
-    length = {name: sum((n * idf[w]) ** 2 for w, n in c.items()) for name, c in counts.items()}
-    common = dict.fromkeys(counts, 0.0)
-    ordered = sorted(idf, key=lambda w: (idf[w], w))
-    for place, word in enumerate(ordered):
-        more = {name: common[name] + (c[word] * idf[word]) ** 2 for name, c in counts.items()}
-        if any(more[name] >= 0.999 * threshold**2 * length[name] for name in counts):
-            return ordered[place:]
-        common = more
-    return []
+class Passage(NamedTuple):
+    """A template: its licence, terms with their numbers and squared IDF, words it needs and words that rule it out."""
+
+    license: str
+    place: int
+    size: int
+    square: float
+    must: list[str]
+    never: list[str]
+    words: list[dict[str, str | float]]
 
 
-def _passages(templates: dict[str, str], idf: dict[str, float]) -> list[tuple[str, Counter, list[str], dict[str, float]]]:
-    """(license, terms, words a span must have, weights) of all that a span is compared with."""
+def passages_of(counts: dict[str, Counter], idf: dict[str, float]) -> list[Passage]:
     out = []
-    for name, c in template_terms(templates).items():
+    for place, (name, c) in enumerate(sorted(counts.items())):
         must = NAMING.get(name, "").split()
         if not must or not set(must) <= set(c):
             must = [max(c, key=lambda w: (idf[w], w))]
-        out.append((name, c, must, idf))
+        words = [{"w": w, "n": float(n), "q": idf[w] ** 2} for w, n in c.items()]
+        square = sum((n * idf[w]) ** 2 for w, n in c.items())
+        out.append(Passage(name.rstrip("#"), place, sum(c.values()), square, must, OTHERS.get(name, "").split(), words))
     return out
 
 
-def _spans(terms: Column, place: int, passage: tuple[str, Counter, list[str], dict[str, float]]) -> Column:
-    """For each place in ``terms`` of the passage's first naming word, the best span around it.
+def _held(terms: Column, passage: Column) -> Column:
+    return F.forall(passage.must, lambda w: F.array_contains(terms, w))
+
+
+def _named(terms: Column, passage: Column) -> Column:
+    return _held(terms, passage) & ~F.exists(passage.never, lambda w: F.array_contains(terms, w))
+
+
+def _scored(terms: Column, passage: Column, *where: Column) -> Column:
+    """The cosine of ``terms`` with the passage's, 0 without its naming words; the passage's place, its licence, ``where``.
 
     A word that is not the passage's weighs as much as one of its words on average, however large the corpus is: with k
-    such words in between, a passage of n words scores 1 / sqrt(1 + k / n).
+    such words, a passage of n words scores 1 / sqrt(1 + k / n).
     """
-    name, c, must, idf = passage
-    size, square = sum(c.values()), sum((n * idf[w]) ** 2 for w, n in c.items())
-    words = F.array(*(F.struct(F.lit(w).alias("w"), F.lit(float(n)).alias("n"), F.lit(idf[w] ** 2).alias("q")) for w, n in c.items()))
-
-    def scored(begin: Column, length: int) -> Column:
-        span = F.slice(terms, begin, length)
-        tf = F.transform(words, lambda w: F.struct(F.size(F.filter(span, lambda x: x == w.w)).alias("k"), w.n.alias("n"), w.q.alias("q")))
-        sums = F.aggregate(
-            tf,
-            F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("own"), F.lit(0).alias("k")),
-            lambda s, t: F.struct(
-                (s.dot + t.k * t.n * t.q).alias("dot"), (s.own + t.k * t.k * t.q).alias("own"), (s.k + t.k).alias("k")
-            ),
-        )
-        found = F.transform(F.array(sums), lambda s: s.dot / F.sqrt((s.own + (F.size(span) - s.k) * (square / size)) * square))
-        named = F.lit(True)
-        for w in must[1:]:
-            named &= F.array_contains(span, w)
-        return F.struct(
-            F.when(named, found[0]).otherwise(0.0).alias("score"), F.lit(-place).alias("order"), F.lit(name).alias("license"),
-            begin.alias("begin"), (begin + length - 1).alias("end"),
-        )
-
-    at = F.filter(F.transform(terms, lambda x, i: F.when(x == must[0], i + 1)), lambda i: i.isNotNull())
+    tf = F.transform(passage.words, lambda w: F.struct(F.size(F.filter(terms, lambda x: x == w.w)).alias("k"), w.n.alias("n"), w.q.alias("q")))
+    zero = F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("own"), F.lit(0).alias("k"))
+    cosine = F.aggregate(
+        tf,
+        zero,
+        lambda s, t: F.struct(
+            (s.dot + t.k * t.n * t.q).alias("dot"), (s.own + t.k * t.k * t.q).alias("own"), (s.k + t.k).alias("k")
+        ),
+        lambda s: s.dot / F.sqrt((s.own + (F.size(terms) - s.k) * (passage.square / passage.size)) * passage.square),
+    )
+    return F.struct(
+        F.when(_named(terms, passage), cosine).otherwise(0.0).alias("score"), (-passage.place).alias("order"),
+        passage.license.alias("license"), *where,
+    )
 
-    def best(i: Column) -> Column:
-        def of(m: int) -> Column:
-            return F.transform(F.sequence(F.greatest(i - (m - 1), F.lit(1)), i), lambda begin: scored(begin, m))
 
-        return F.array_max(F.concat(*map(of, range(size, size + EXTRA + 1))))
+def _spans(terms: Column, passage: Column) -> Column:
+    """For each place in ``terms`` of the passage's first naming word, the best span around it."""
+    at = F.filter(F.transform(terms, lambda x, i: F.when(x == passage.must[0], i + 1)), lambda i: i.isNotNull())
+
+    def span(begin: Column, length: Column) -> Column:
+        return _scored(F.slice(terms, begin, length), passage, begin.alias("begin"), (begin + length - 1).alias("end"))
+
+    def best(i: Column) -> Column:
+        lengths = F.sequence(passage.size, passage.size + EXTRA)
+        begins = lambda m: F.sequence(F.greatest(i - (m - 1), F.lit(1)), i)
+        return F.array_max(F.flatten(F.transform(lengths, lambda m: F.transform(begins(m), lambda b: span(b, m)))))
 
     return F.transform(at, best)
 
 
-def span_statements(docs: DataFrame, templates: dict[str, str], idf: dict[str, float], threshold: float) -> DataFrame:
-    """(doc_id, path, license, score): all licences that spans of whole texts state, wherever lines end.
+def span_statements(docs: DataFrame, passages: list[Passage], threshold: float) -> DataFrame:
+    """(doc_id, path, score, order, license): all licences that spans of whole texts state, wherever lines end.
 
     Where spans overlap only the best one states; ties go to the first name.
     """
-    passages = _passages(templates, idf)
-    low, any_named = F.lower("text"), F.lit(False)
-    for _, _, must, _ in passages:  # as parts of words first, which is cheap
-        held = F.lit(True)
-        for w in must:
-            held &= low.contains(w)
-        any_named |= held
-    firsts = sorted({must[0] for _, _, must, _ in passages})
+    low = F.lower("text")
+    any_named = F.lit(False)
+    for passage in passages:  # as parts of words first, which is cheap
+        any_named |= reduce(Column.__and__, (low.contains(w) for w in passage.must))
+    terms = F.col("terms")
     rows = docs.filter(any_named).select("doc_id", "path", terms_of(F.col("text")).alias("terms"))
-    rows = rows.filter(F.arrays_overlap("terms", F.array(*map(F.lit, firsts))))
-    ordered = sorted(passages, key=lambda x: x[0])
-    spans = F.concat(*(_spans(F.col("terms"), place, x) for place, x in enumerate(ordered)))
+    compared = F.filter(_literal(passages), lambda p: _held(terms, p))
+    spans = F.flatten(F.transform(compared, lambda p: _spans(terms, p)))
     rows = rows.select("doc_id", "path", F.filter(spans, lambda x: x.score >= threshold).alias("spans"))
     spans = F.reverse(F.array_sort("spans"))
     kept = F.aggregate(
@@ -152,12 +174,36 @@ def span_statements(docs: DataFrame, templates: dict[str, str], idf: dict[str, f
         lambda kept, x: F.when(F.exists(kept, lambda y: (y.begin <= x.end) & (x.begin <= y.end)), kept).otherwise(F.concat(kept, F.array(x))),
     )
     rows = rows.select("doc_id", "path", F.explode(kept).alias("x"))
-    return rows.select("doc_id", "path", "x.license", "x.score")
+    return rows.select("doc_id", "path", "x.score", "x.order", "x.license")
+
+
+def line_statements(lines: DataFrame, passages: list[Passage], threshold: float) -> DataFrame:
+    """(doc_id, path, score, order, license): all licences that whole lines (doc_id, path, terms) state."""
+    firsts = F.array(*(F.lit(w) for w in sorted({p.must[0] for p in passages})))
+    terms = F.col("terms")
+    compared = F.filter(_literal(passages), lambda p: _named(terms, p))
+    rows = lines.filter(F.arrays_overlap("terms", firsts))
+    rows = rows.select("doc_id", "path", F.inline(F.transform(compared, lambda p: _scored(terms, p))))
+    return rows.filter(F.col("score") >= threshold)
+
+
+def _literal(passages: list[Passage]) -> Column:
+    """All passages as one constant array, so that what is done with each stands in the plan once."""
+
+    def listed(values: list[str] | list[float]) -> Column:
+        return F.split(F.lit(" ".join(map(str, values))), " ") if values else F.array().cast("array<string>")
+
+    def of(p: Passage) -> Column:
+        columns = [listed([w[k] for w in p.words]) for k in ("w", "n", "q")]
+        words = F.arrays_zip(*columns).cast("array<struct<w:string,n:double,q:double>>")
+        parts = p._asdict() | {"must": listed(p.must), "never": listed(p.never), "words": words}
+        return F.struct(*((v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in parts.items()))
+
+    return F.array(*map(of, passages))
 
 
 def statements(docs: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """(doc_id, path, license, score, licenses): each document's best line that reaches the threshold, or else its best
-    span, and all licences that it states."""
+    """(doc_id, path, license, score, licenses): each document's best passage and all licences that it states."""
     counts = template_terms(templates)
     vocabulary = sorted({w for c in counts.values() for w in c})
     lines = docs.select("doc_id", "path", F.explode(F.split("text", "\n")).alias("line"))
@@ -167,46 +213,13 @@ def statements(docs: DataFrame, templates: dict[str, str], threshold: float) ->
     often = dict(often.collect())  # the templates' terms, and all lines as the empty term
     n = often.get("", 0)
     idf = {w: math.log((n + 1) / (often.get(w, 0) + 1)) + 1 for w in vocabulary}
-    unknown = math.log(n + 1) + 1
-    telling = telling_terms(counts, idf, threshold)
-
-    idf_map = F.create_map(*(x for w in vocabulary for x in (F.lit(w), F.lit(idf[w]))))
-    near = lines.filter(F.arrays_overlap("terms", F.array(*map(F.lit, telling))))
-    tf = F.transform(known, lambda w: F.struct(w.alias("term"), F.size(F.filter("terms", lambda x: x == w)).alias("n")))
-    near = near.select("doc_id", "path", F.size("terms").alias("size"), tf.alias("tf"))
-    weighted = F.transform(
-        "tf", lambda t: F.struct(t.term.alias("term"), (t.n * idf_map[t.term]).alias("w"), t.n.alias("n"))
-    )
-    near = near.withColumn("tf", weighted)
-    square = F.aggregate("tf", F.lit(0.0), lambda s, t: s + t.w * t.w)
-    others = F.col("size") - F.aggregate("tf", F.lit(0), lambda s, t: s + t.n)
-    near = near.select("doc_id", "path", F.sqrt(square + others * unknown**2).alias("own"), "tf")
-    # a line's cosines with all templates, as one array: no row leaves its task before the best line is known
-    cosines = [
-        F.struct(_cosine(c, idf).alias("score"), F.lit(-place).alias("order"), F.lit(name).alias("license"))
-        for place, (name, c) in enumerate(sorted(counts.items()))
-    ]
-    per_line = F.array(*cosines)
-    best = near.select("doc_id", "path", F.array_max(per_line).alias("best")).filter(F.col("best.score") >= threshold)
-    by_line = best.select("doc_id", "path", F.struct(F.lit(True).alias("line"), "best.*").alias("best"))
-    spans = span_statements(docs, templates, idf, threshold)
-    order = F.lit(0)
-    for place, name in enumerate(sorted(counts)):
-        order = F.when(F.col("license") == name, -place).otherwise(order)
-    by_span = F.struct(F.lit(False).alias("line"), "score", order.alias("order"), "license")
-    every = by_line.unionByName(spans.select("doc_id", "path", by_span.alias("best")))
-    every = every.groupBy("doc_id", "path").agg(F.max("best").alias("best"), F.array_sort(F.collect_set("best.license")).alias("licenses"))
+    passages = passages_of(counts, idf)
+    every = line_statements(lines, passages, threshold).unionByName(span_statements(docs, passages, threshold))
+    best = F.max(F.struct("score", "order", "license"))
+    every = every.groupBy("doc_id", "path").agg(best.alias("best"), F.array_sort(F.collect_set("license")).alias("licenses"))
     return every.select("doc_id", "path", "best.license", "best.score", "licenses")
 
 
-def _cosine(c: Counter, idf: dict[str, float]) -> Column:
-    """Of a line's weighted terms ``tf`` and length ``own`` with a template's terms."""
-    weights = F.create_map(*(x for w, n in c.items() for x in (F.lit(w), F.lit(n * idf[w]))))
-    parts = F.transform("tf", lambda t: F.coalesce(weights[t.term], F.lit(0.0)) * t.w)
-    length = math.sqrt(sum((n * idf[w]) ** 2 for w, n in c.items()))
-    return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / (F.col("own") * length)
-
-
 def directory(path: Column) -> Column:
     """``path`` without its last part."""
     parts = F.split(path, "/")
@@ -222,11 +235,13 @@ def above(path: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, path, license, score, inherited_from, licenses) per document of ``docs`` (doc_id, path, text)."""
-    files = docs.select(
+    if templates is None:
+        templates = TEMPLATES | {f"{name}#": text for name, text in OPENINGS.items()}
+    files = settle(docs, ["doc_id", "path", "text"]).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"),
         F.col("text").cast("string").alias("text"),
     )
-    found = stored(statements(files, templates or TEMPLATES, threshold), "statements")
+    found = stored(statements(files, templates, threshold), "statements")
 
     # licence files: right in a directory first (depth 0), else from below
     stating = found.select("doc_id", "license", directory(F.col("path")).alias("own"))
