@@ -79,6 +79,12 @@ class Index(NamedTuple):
         return np.maximum(-(-self.probes[cell] // QUERIES), 1)
 
 
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Of the rows, none of them zero; squares of very small or large values are never taken."""
+    most = np.abs(x).max(axis=1)
+    return most * np.linalg.norm(x / most[:, None], axis=1)
+
+
 def _band(length: np.ndarray) -> np.ndarray:
     return np.floor(BANDS * np.log2(length) + 0.5).astype(np.int64)
 
@@ -105,6 +111,7 @@ def cells_of(x: np.ndarray, b: Band) -> np.ndarray:
 
 def probes_of(x: np.ndarray, b: Band, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Query numbers and the cells they probe, cells without rows left out."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     x = _padded(x / np.linalg.norm(x, axis=1, keepdims=True), b, None)
     query, cell = [], []
     for t in range(TABLES):
@@ -136,7 +143,7 @@ def _place(bands: list[Band], index: Index | None, is_query: bool, rows_in: np.n
         total = np.zeros(bands[-1].first + 2 * bands[-1].width * TABLES, np.int64)
         for batch in batches:
             for rows, x in _vectors(batch):
-                own = _band(np.linalg.norm(x, axis=1))
+                own = _band(_lengths(x))
                 for b in (b for b in bands if b.dim == x.shape[1]):
                     if is_query:
                         at, cell = probes_of(x, b, rows_in)
@@ -223,8 +230,10 @@ def _usable(v: Column) -> Column:
 
 def build_bands(classes: DataFrame) -> list[Band]:
     """Of the lengths in (v): one row for each dimension and band comes to the driver."""
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    sizes = classes.select(F.size("v").alias("dim"), length.alias("length"))
+    most = F.array_max(F.transform("v", F.abs))
+    scaled = classes.select("v", most.alias("most"))
+    length = F.col("most") * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x / F.col("most") * (x / F.col("most"))))
+    sizes = scaled.select(F.size("v").alias("dim"), length.alias("length"))
     band = F.floor(BANDS * F.log2("length") + 0.5).alias("band")
     found = sizes.groupBy("dim", band).agg(F.min("length").alias("shortest"), F.max("length").alias("longest")).collect()
     out, first = [], 0

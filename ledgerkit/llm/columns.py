@@ -51,3 +51,16 @@ def map_rows(
             yield batch.rename_columns(flat.names)
 
     return df.toDF(*flat.names[: len(names)]).mapInArrow(positional, flat).toDF(*schema.names)
+
+
+def on_plain_names(
+    df: DataFrame, wanted: Iterable[str], added: Iterable[str], run: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``run`` on ``df`` settled and with its other columns under names that clash with nothing; named back afterwards.
+
+    ``run`` keeps the columns it gets and adds those in ``added``.
+    """
+    wanted, added = list(wanted), list(added)
+    df = settle(df, wanted, added)
+    plain = [c if c in wanted else f"_other{i}" for i, c in enumerate(df.columns)]
+    return run(df.toDF(*plain)).select(*plain, *added).toDF(*df.columns, *added)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerkit.llm.columns import on_plain_names, settle
 from ledgerkit.llm.words import IS_MARK, Words, buffers, text_slices, words
 
 BLOCK, SEGMENT = 32, 64
@@ -99,7 +100,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = np.ascontiguousarray(_fold(b, random).T)
         for i, row in enumerate(rows):
             total[i] += np.bincount(b.terms, row[block], TERMS)
-        own = np.sort((block * TERMS + b.terms).astype(np.uint32))
+        own = np.sort(block * TERMS + b.terms)
         total[-1] += np.bincount(own[np.append(True, own[1:] != own[:-1])[: len(own)]] % TERMS, minlength=TERMS)
     parts = total.T.astype(np.float32).reshape(TERMS // CHUNK, -1)
     yield pa.RecordBatch.from_pydict({"chunk": np.arange(len(parts), dtype=np.int32), "part": [r.tobytes() for r in parts]})
@@ -300,12 +301,15 @@ def _search(batches: Iterator[pa.RecordBatch], search) -> Iterator[pa.RecordBatc
 def find_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``matches``: for each benchmark item that a text holds, its words and how many are in common."""
     spark = docs.sparkSession
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "matches"))
-    items, search = read_items(benchmark), None
-    if items.ids:
-        search = spark.sparkContext.broadcast(Search(items, latent_space(kept)))
-    schema = T.StructType([*kept.schema.fields, T.StructField("matches", T._parse_datatype_string(MATCH_DDL))])
-    return kept.mapInArrow(partial(_search, search=search), schema)
+
+    def run(kept: DataFrame) -> DataFrame:
+        items, search = read_items(settle(benchmark, ["item_id", "text"])), None
+        if items.ids:
+            search = spark.sparkContext.broadcast(Search(items, latent_space(kept)))
+        schema = T.StructType([*kept.schema.fields, T.StructField("matches", T._parse_datatype_string(MATCH_DDL))])
+        return kept.mapInArrow(partial(_search, search=search), schema)
+
+    return on_plain_names(docs, ["text"], ["matches"], run)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -22,7 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerkit.llm.columns import on_plain_names
 from ledgerkit.llm.scratch import stored
 from ledgerkit.llm.words import text_slices
 
@@ -179,14 +181,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_bit
     A key is a line without white space at its ends, A-Z lower-cased, of at least ``min_chars`` code points. The
     document with the largest id keeps its lines. Columns n_lines (before) and n_dropped are added.
     """
-    others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    kept = docs.select(*(F.col(f"`{c}`") for c in others))
+    return on_plain_names(
+        docs, ["doc_id", "text"], ["n_lines", "n_dropped"], lambda kept: _without_repeats(kept, min_chars, min_docs, max_bits)
+    )
+
+
+def _without_repeats(kept: DataFrame, min_chars: int, min_docs: int, max_bits: int) -> DataFrame:
+    others = kept.columns
     drops = repeated_lines(kept, min_chars, min_docs, max_bits).select(F.col("doc_id").alias("drop_id"), "drop")
     rows = kept.select(F.struct(*(F.col(f"`{c}`") for c in others if c != "text")).alias("row"), "text")
     joined = rows.join(drops, F.col("row.doc_id") == F.col("drop_id"), "left").select("row", "text", "drop")
-    fields = joined.schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(
-        partial(_rewrite, min_chars=min_chars), f"row {fields}, text string, n_lines long, n_dropped long"
-    )
+    added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
+    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), *added])
+    out = joined.mapInArrow(partial(_rewrite, min_chars=min_chars), schema)
     named = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in others]
     return out.select(*named, "n_lines", "n_dropped")

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerkit.llm.columns import on_plain_names, settle
 from ledgerkit.llm.words import IS_SPACE, buffers, shingles, text_slices, words
 
 FEATURES = (
@@ -233,6 +234,7 @@ def held_out(doc_id: Column | str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Model:
     """Fit on the ``labels`` (doc_id, ``label``) that are not held out and whose texts are in ``docs``."""
+    labels = settle(labels, ["doc_id", label])
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.filter("label in (0, 1) and doc_id is not null").filter(~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
@@ -247,14 +249,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a column ``score``: how likely each text is good, 0 to 1."""
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "score"))
-    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
-    return kept.mapInArrow(partial(_score_rows, model=model), schema)
+
+    def run(kept: DataFrame) -> DataFrame:
+        schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
+        return kept.mapInArrow(partial(_score_rows, model=model), schema)
+
+    return on_plain_names(docs, ["text"], ["score"], run)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = MAX_ROWS) -> DataFrame:
-    """``docs`` with held_out, score and predicted (1: good)."""
-    scored = score_documents(docs, train(docs, labels, max_rows=max_rows))
-    return scored.withColumns(
-        {"held_out": held_out("doc_id"), "predicted": (F.col("score") >= threshold).cast("int")}
-    )
+    """``docs`` with held_out, score and predicted (1: good), instead of columns of these names in any case."""
+
+    def run(rows: DataFrame) -> DataFrame:
+        scored = score_documents(rows, train(rows, labels, max_rows=max_rows))
+        return scored.withColumns(
+            {"held_out": held_out("doc_id"), "predicted": (F.col("score") >= threshold).cast("int")}
+        )
+
+    return on_plain_names(docs, ["doc_id", "text"], ["score", "held_out", "predicted"], run)

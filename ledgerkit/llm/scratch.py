@@ -12,7 +12,7 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerkit.session import shared_folder
-
+from ledgerkit.sources.folders import delete_folder
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -42,18 +42,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
 
+#: Tables written by ``stored`` and not discarded yet, oldest first.
+_made: list[str] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet under the shared folder and read back: its lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """Where the tables made from now on begin."""
+    return len(_made)
+
+
+def discard_since(spark: SparkSession, since: int) -> None:
+    """Delete the tables made since ``mark`` but for the last one, which needs none of them."""
+    for path in _made[since:-1]:
+        delete_folder(spark, path)
+    del _made[since:-1]
+
+
 def discard_all(spark: SparkSession) -> None:
     """Delete every intermediate table of this application; call it when no result needs them any more."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/llm")
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    delete_folder(spark, f"{shared_folder(spark)}/llm")
+    _made.clear()
 
 
 def partitions(spark: SparkSession) -> int:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerkit.llm.columns import on_plain_names, settle
 from ledgerkit.llm.quality import held_out
 from ledgerkit.llm.scratch import stored
 from ledgerkit.llm.words import IS_MARK, Words, buffers, text_slices, words
@@ -238,12 +239,16 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.2)
 
     Toxic rows are rare and told by few words: clean ones come out far below this threshold.
     """
-    return score_toxicity(docs, train(docs, labels)).filter(F.col("p_toxic") >= threshold)
+    rows = settle(docs, ["doc_id", "text"])
+    return score_toxicity(rows, train(rows, settle(labels, ["doc_id", "toxic"]))).filter(F.col("p_toxic") >= threshold)
 
 
 def score_toxicity(docs: DataFrame, chain: Chain) -> DataFrame:
     """``docs`` with a probability ``p_<category>`` for each category of the chain."""
     names = [f"p_{c}" for c in chain.categories]
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names))
-    schema = T.StructType([*kept.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
-    return kept.mapInArrow(partial(_score, chain=chain), schema)
+
+    def run(kept: DataFrame) -> DataFrame:
+        schema = T.StructType([*kept.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
+        return kept.mapInArrow(partial(_score, chain=chain), schema)
+
+    return on_plain_names(docs, ["text"], names, run)

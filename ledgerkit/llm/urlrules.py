@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerkit.llm.columns import on_plain_names, settle
 from ledgerkit.llm.scratch import partitions
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES_DDL = "host string, path string, verdict string"
+RULE_COLUMNS, ADDED = ["host", "path", "verdict"], ["host", "path", "rule", "verdict"]
 
 
 def _cut(text: Column, marks: str) -> Column:
@@ -66,14 +68,19 @@ def rules_frame(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataF
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts: int | None = None) -> DataFrame:
     """``pages`` (url, ...) with host, path, rule (host and path of the longest that fits, or null) and verdict."""
     salts = salts or partitions(pages.sparkSession)
-    kept = pages.select(*(F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")))
+    return on_plain_names(pages, ["url"], ADDED, lambda kept: _judge(kept, settle(rules, RULE_COLUMNS), default, salts))
+
+
+def _judge(kept: DataFrame, rules: DataFrame, default: str, salts: int) -> DataFrame:
     url = F.col("url").cast("string")
     parsed = kept.withColumns({"host": host_of(url), "path": path_of(url)})
     distinct = parsed.select("host", "path").distinct()
 
-    # one key for each ancestor of the host, the host itself included
+    # one key for each ancestor of the host, the host itself included, down to the depth of the deepest rule
     labels = _reversed_labels(F.col("host"))
-    ancestors = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.slice(labels, 1, n)))
+    deepest = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
+    depth = F.least(F.size(labels), F.lit(deepest))
+    ancestors = F.explode(F.transform(F.sequence(F.lit(1), depth), lambda n: F.slice(labels, 1, n)))
     keys = distinct.select("host", "path", ancestors.alias("labels")).select(
         F.pmod(F.xxhash64("host", "path"), F.lit(salts)).cast("int").alias("salt"),
         _key(F.col("labels"), F.col("path")).alias("key"), F.lit(1).alias("kind"), F.lit(0).alias("step"),

@@ -1,3 +1,5 @@
+import os
+
 import corpus_pipeline
 import public_tokenizers
 from frames import SMALL, docs  # noqa: F401
@@ -7,6 +9,7 @@ from test_neardup import brute as brute_groups
 from test_token_output import check_packing
 
 from ledgerkit.llm import decontaminate, quality
+from ledgerkit.session import shared_folder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,3 +64,11 @@ def test_stages_with_odd_tables(spark, docs):
             assert out.columns == frame.columns
             assert out.count() == frame.count()
         assert stage(spark, frame.limit(0), SMALL).count() == 0
+
+
+def test_only_the_result_stays(spark):
+    folder = f"{shared_folder(spark)}/llm"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = corpus_pipeline.run(spark, SMALL)
+    left = set(os.listdir(folder)) - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["stage-packing"] and out.count() > 0
