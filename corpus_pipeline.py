@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerkit.llm import decontaminate, linededup, neardup, packing, quality
-from ledgerkit.llm.scratch import ship_package, stored
+from ledgerkit.llm.scratch import discard_since, mark, ship_package, stored
 
 #: SQL has no counterpart of the models; tests hold every stage against a plain version.
 ORACLE_SQL = None
@@ -82,7 +82,8 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs, begun = _table(spark, sf_dir, "documents"), mark()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard_since(spark, begun)  # what the stage needed, the table before it included
     return docs
