@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerkit.llm.columns import settle
 from ledgerkit.llm.pieces import ranges
-from ledgerkit.llm.scratch import stored
+from ledgerkit.llm.scratch import partitions, stored
 from ledgerkit.llm.words import LOWER, buffers, text_slices
 
 #: Parts of a word's letters. More parts give fewer false pairs and more rows: n (n - 1) / 2 signatures.
@@ -145,7 +145,8 @@ def near_words(words: DataFrame) -> DataFrame:
 
     ``best`` is (minus its n, the word), so that the smallest of them is the most frequent, ties to the smaller word.
     """
-    rows = signatures(words)
+    # counted words are few and lie in few files; a row for each of their signatures is work for all tasks
+    rows = signatures(words.select("word", "n").repartition(partitions(words.sparkSession), "word"))
     a, b = rows.alias("a"), rows.alias("b")
     meets = (F.col("a.key") == F.col("b.key")) & ~F.col("a.longer") & (F.col("b.longer") | (F.col("a.word") < F.col("b.word")))
     pairs = a.join(b, meets & (F.levenshtein("a.word", "b.word", 1) == 1)).select(
