@@ -25,10 +25,8 @@ from ledgerkit.llm.tokens import encoder, slices
 
 #: Ids after which a shard closes.
 SHARD_IDS = 1 << 18
-#: Rounds of replacement, pairs replaced in each, and occurrences a pair needs.
-ROUNDS, PAIRS, LEAST = 4, 512, 16
-#: Counters that pairs share before the promising ones are counted exactly.
-COUNTERS = 1 << 17
+#: Occurrences a pair needs, not counting those that overlap another one of it.
+LEAST = 2
 
 SHARD = pa.schema(
     [
@@ -52,25 +50,6 @@ class Grammar(NamedTuple):
     symbols: np.ndarray
 
 
-def frequent_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the round's most frequent pairs, and which of them (0: most frequent) begins there.
-
-    Shared counters are at least the pairs' own counts, so no pair with LEAST occurrences is missed by them; the
-    counters that could hold one of the best are then counted pair by pair.
-    """
-    counter = (left * np.uint32(2654435761) + right * np.uint32(40503)) >> np.uint32(15)
-    shared = np.bincount(counter, minlength=COUNTERS)
-    floor = max(LEAST, int(np.partition(shared, -PAIRS)[-PAIRS]))
-    at = np.flatnonzero(shared[counter] >= floor)
-    pairs = left[at].astype(np.uint64) << np.uint64(32) | right[at]
-    distinct, which, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-    best = np.argsort(-counts, kind="stable")[:PAIRS]
-    rank = np.full(len(distinct), -1)
-    rank[best[counts[best] >= LEAST]] = np.arange(int((counts[best] >= LEAST).sum()))
-    chosen = rank[which] >= 0
-    return at[chosen], rank[which][chosen]
-
-
 def apart(at: np.ndarray) -> np.ndarray:
     """Of sorted positions, those kept so that no two are neighbours: every second one of a run."""
     new = np.diff(at, prepend=-2) != 1
@@ -78,53 +57,91 @@ def apart(at: np.ndarray) -> np.ndarray:
     return (index - np.maximum.accumulate(np.where(new, index, 0))) % 2 == 0
 
 
+def repeated_pairs(symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs that begin at ``at``, those that occur LEAST times: their positions, which pair each is, and counts."""
+    place, width = int(len(symbols)).bit_length(), int(symbols.max()).bit_length()
+    if 2 * width + place <= 64:  # a pair and its position fit one number, which sorts faster than an order does
+        pairs = symbols[at].astype(np.uint64) << np.uint64(width) | symbols[at + 1]
+        keys = np.sort(pairs << np.uint64(place) | at.astype(np.uint64))
+        where, pairs = (keys & np.uint64((1 << place) - 1)).astype(np.int64), keys >> np.uint64(place)
+    else:
+        pairs = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
+        order = np.argsort(pairs, kind="stable")
+        where, pairs = at[order], pairs[order]
+    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+    counts = np.diff(first, append=len(pairs))
+    enough = counts >= LEAST
+    kept, counts = np.repeat(enough, counts), counts[enough]
+    return where[kept], np.repeat(np.arange(len(counts)), counts), counts
+
+
 def compress(ids: np.ndarray, base: int) -> Grammar:
-    """Replace frequent pairs round by round; ``base`` is greater than every id."""
+    """Replace pairs until none occurs LEAST times; ``base`` is greater than every id.
+
+    A round replaces every occurrence that is more frequent than the ones overlapping it, so all those of the most frequent
+    pair. A pair that is rare once stays rare, as new neighbours hold a new symbol: later rounds look at what is left only.
+    """
     symbols, rules, lengths = ids.astype(np.uint32), [np.empty((0, 2), np.uint32)], np.ones(0, np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2 * LEAST:
-            break
-        at, rank = frequent_pairs(symbols[:-1], symbols[1:])
-        kept = apart(at)
-        at, rank = at[kept], rank[kept]
-        uses = np.bincount(rank, minlength=1)
-        worth = uses[rank] >= LEAST if len(rank) else np.zeros(0, bool)
-        at, rank = at[worth], rank[worth]
+    at = np.arange(len(symbols) - 1)
+    while len(at):
+        same = at[symbols[at] == symbols[at + 1]]
+        overlapping = same[~apart(same)]
+        if len(overlapping):
+            single = np.ones(len(symbols), bool)
+            single[overlapping] = False
+            at = at[single[at]]
+        at, pair, counts = repeated_pairs(symbols, at)
         if not len(at):
             break
-        used, first, named = np.unique(rank, return_index=True, return_inverse=True)
-        pair = np.stack([symbols[at[first]], symbols[at[first] + 1]], axis=1)
-        size = np.where(pair >= base, np.concatenate([lengths, [1]])[np.maximum(pair.astype(np.int64) - base, -1)], 1)
-        symbols = symbols.copy()
-        symbols[at] = base + len(lengths) + named
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols = symbols[keep]
-        rules.append(pair)
-        lengths = np.concatenate([lengths, size.sum(axis=1)])
-        if len(at) * 100 < len(symbols):
-            break
+        rank = np.empty(len(counts), np.int32)
+        mixed = np.arange(len(counts)) * 2654435761 & 0xFFFFFFFF  # equal counts in ascending order would yield one a round
+        rank[np.argsort(counts << 32 | mixed)] = np.arange(1, len(counts) + 1, dtype=np.int32)
+        weight = np.zeros(len(symbols) + 2, np.int32)
+        weight[at + 1] = own = rank[pair]
+        best = (own > weight[at]) & (own > weight[at + 2])
+        uses = np.bincount(pair[best], minlength=len(counts))
+        best &= uses[pair] >= LEAST
+        begin, pair = at[best], pair[best]
+        named = np.cumsum(uses >= LEAST) - 1
+        first = np.empty(named[-1] + 1, np.int64)
+        first[named[pair]] = begin
+        two = np.stack([symbols[first], symbols[first + 1]], axis=1)
+        live = np.zeros(len(symbols), bool)
+        for left in (at, overlapping, begin, np.maximum(begin - 1, 0)):
+            live[left] = True
+        symbols[begin] = base + len(lengths) + named[pair]
+        kept = np.ones(len(symbols), bool)
+        kept[begin + 1] = False
+        symbols, live = symbols[kept], live[kept]
+        at = np.flatnonzero(live[:-1])
+        rules.append(two)
+        lengths = np.concatenate([lengths, sizes(base, lengths, two).sum(axis=1)])
     return Grammar(base, np.concatenate(rules), lengths, symbols)
 
 
+def sizes(base: int, lengths: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """How many ids each of ``symbols`` stands for."""
+    return np.where(symbols >= base, np.append(lengths, 1)[np.maximum(symbols.astype(np.int64) - base, -1)], 1)
+
+
 def expand(g: Grammar, symbols: np.ndarray | None = None) -> np.ndarray:
-    """The ids behind ``symbols`` (all of the grammar's by default)."""
+    """The ids behind ``symbols`` (all of the grammar's by default); each nonterminal on the way is opened once."""
     symbols = g.symbols if symbols is None else symbols
-    while (inner := symbols >= g.base).any():
-        at = np.repeat(np.arange(len(symbols)), np.where(inner, 2, 1))
-        second = np.diff(at, prepend=-1) == 0
-        out = symbols[at]
-        pair = out >= g.base
-        out[pair] = g.rules[out[pair] - g.base, second[pair].astype(np.int64)]
-        symbols = out
-    return symbols
+    size = sizes(g.base, g.lengths, symbols)
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint32)
+    while len(symbols):
+        inner = symbols >= g.base
+        out[at[~inner]] = symbols[~inner]
+        at, two = at[inner], g.rules[symbols[inner] - g.base]
+        at = np.concatenate([at, at + sizes(g.base, g.lengths, two[:, 0])])
+        symbols = two.T.ravel()
+    return out
 
 
 def read_range(g: Grammar, start: int, length: int) -> np.ndarray:
     """Ids ``start`` to ``start + length`` of a shard, expanding only the symbols that hold them."""
-    inner = g.symbols >= g.base
-    size = np.where(inner, np.concatenate([g.lengths, [1]])[np.where(inner, g.symbols.astype(np.int64) - g.base, -1)], 1)
-    ends = np.cumsum(size)
+    ends = np.cumsum(sizes(g.base, g.lengths, g.symbols))
     a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, start + length, "left") + 1
     skipped = int(ends[a - 1]) if a else 0
     return expand(g, g.symbols[a:b])[start - skipped : start - skipped + length]

@@ -104,6 +104,22 @@ def brute(rows, path, end_id):
     return out
 
 
+def test_grammar_leaves_no_repeated_pair():
+    rng = np.random.default_rng(3)
+    many = rng.integers(0, 400, 2000).repeat(2)  # more pairs than were once replaced, of few occurrences each
+    for ids in (many, np.tile(np.arange(20_000), 2), np.zeros(999, int), np.array([1, 2, 1, 2]), rng.integers(0, 3, 5000)):
+        g = grammar.compress(ids, 1 << 15)
+        seen, last = set(), None
+        for pair in zip(g.symbols.tolist(), g.symbols[1:].tolist(), strict=False):
+            if pair == last and pair[0] == pair[1]:
+                last = None  # overlaps the one before
+                continue
+            assert pair not in seen
+            seen.add(pair)
+            last = pair
+        assert (grammar.expand(g) == ids).all() and len(g.symbols) <= len(ids)
+
+
 def test_op8_against_brute_force(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").select("doc_id", "text").collect()
     found = queries.op8_repair(spark, SMALL).orderBy("doc_id").collect()
