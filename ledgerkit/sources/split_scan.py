@@ -29,6 +29,8 @@ from ledgerkit.spec import Dialect
 SPLIT_KEY = ["file", "start", "size", "modified"]
 # Bytes of one row of the split table; it is broadcast only below the session's own threshold.
 SPLIT_BYTES = 300
+# Tasks for each core of a scan whose splits are read several by one task.
+TASKS_PER_CORE = 4
 # A line with content; the characters up to the space are what the multi-line reader takes for blank.
 FILLED = r"[^\x00-\x20]"
 
@@ -51,7 +53,11 @@ def _pinned_session(spark: SparkSession, split_bytes: int | None) -> SparkSessio
 
 
 def physical_lines(spark: SparkSession, path: str | list[str], split_bytes: int | None = None) -> DataFrame:
-    """Lines with the split they lie in and a number that grows along each split."""
+    """Lines with the split they lie in and a number that grows along each split.
+
+    Splits smaller than the session's own are read several by one task: each task reports to the driver, so their number
+    follows the bytes, not the splits. Lines are numbered before that, by split.
+    """
     text = _pinned_session(spark, split_bytes).read.option("lineSep", "\n").text(path)
     lines = text.select(
         F.col("_metadata.file_path").alias("file"),
@@ -61,6 +67,10 @@ def physical_lines(spark: SparkSession, path: str | list[str], split_bytes: int
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
+    usual = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if split_bytes and split_bytes < usual:
+        splits, least = text.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+        lines = lines.coalesce(min(splits, max(-(-splits * split_bytes // usual), TASKS_PER_CORE * least)))
     # Through a view, what is built on the pinned scan belongs to the caller's session again.
     view = f"lines_{uuid.uuid4().hex}"
     lines.createGlobalTempView(view)

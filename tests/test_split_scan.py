@@ -162,3 +162,13 @@ def test_overwritten_table_is_read_afresh(spark, tmp_path, write_file):
         assert [";".join(r) for r in overwrite_table(df, name, path=path).collect()] == [body]
         assert [";".join(r) for r in spark.table(name).collect()] == [body]
     spark.sql(f"drop table {name}")
+
+
+def test_small_splits_share_tasks(spark, write_file):
+    """What the tasks report to the driver follows the bytes, however small the splits."""
+    records = [[str(i), "a\nb;c" * (i % 5), '"'] for i in range(2000)]
+    path = write_file(as_csv(records))
+    lines = split_scan.physical_lines(spark, path, 256)
+    tasks = split_scan.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert lines.select("file", "start").distinct().count() > 2 * tasks >= 2 * lines.rdd.getNumPartitions()
+    assert rows(read_delimited(spark, path, Dialect(split=True, split_bytes=256))) == rows(read_delimited(spark, path))
