@@ -550,12 +550,14 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(row, "avg_tax", "parent_match_pct", "child_match_pct")
 
 
-def job_config(spark: SparkSession, sf: str, line_key: str = "InvoiceId", split: bool = True) -> JobConfig:
-    """The exports of a folder, written if need be, and where the job puts its tables."""
+def job_config(
+    spark: SparkSession, sf: str, line_key: str = "InvoiceId", split: bool = True, heads: str | None = None
+) -> JobConfig:
+    """The exports of a folder, written if need be, and where the job puts its tables; ``heads``: other headers' file."""
     suffix = "" if line_key == "InvoiceId" else "_by_number"
     native = "" if split else "_native"
     return JobConfig(
-        parents_path=E.export(spark, sf, "invoices", E.raw_invoices(spark, sf), EXPORT),
+        parents_path=heads or E.export(spark, sf, "invoices", E.raw_invoices(spark, sf), EXPORT),
         children_path=E.export(spark, sf, f"lines{suffix}", E.raw_lines(spark, sf, line_key), EXPORT),
         parents_table=E.table_name(spark, sf, f"stg_invoices{suffix}{native}"),
         children_table=E.table_name(spark, sf, f"stg_invoice_lines{suffix}{native}"),
@@ -610,7 +612,6 @@ def raw_profile(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def rejected_records(spark: SparkSession, sf: str) -> DataFrame:
     """The records of a run that have a field too few or too many: the key of each and its number of fields."""
-    uneven = job_config(spark, sf)
     raw = E.raw_order_keys(spark, sf)
     columns = [F.col(c) for c in I.INVOICES.column_names if c in raw.columns]
     missing = [F.lit("") for c in I.INVOICES.column_names if c not in raw.columns]
@@ -621,7 +622,7 @@ def rejected_records(spark: SparkSession, sf: str) -> DataFrame:
     header = ";".join([*[c for c in I.INVOICES.column_names if c in raw.columns], *[c for c in I.INVOICES.column_names if c not in raw.columns]])
     head = spark.range(1).select(F.lit(header).alias("value"))
     path = E.export_text(spark, sf, "uneven_heads", head.unionAll(raw.select(F.concat(fields, tail).alias("value"))).coalesce(1))
-    result = job.run(spark, replace(uneven, parents_path=path, parents_table=E.table_name(spark, sf, "uneven_heads")))
+    result = job.run(spark, replace(job_config(spark, sf, heads=path), parents_table=E.table_name(spark, sf, "uneven_heads")))
     rejected = F.col(job.REJECTED)
     return result.parent_rejects.select(
         F.col("InvoiceId").cast("bigint").alias("invoice_id"), F.size(F.split(rejected, ";")).cast("bigint").alias("fields")

@@ -9,6 +9,9 @@ from ledgerkit.plans.invoices import INVOICES, LINES, LINK
 from ledgerkit.session import shared_folder
 from ledgerkit.sources.folders import kept
 from ledgerkit.spec import ColumnSpec, Dialect, JobConfig, ParentLink, TableSpec
+from ledgerkit.suite import exports, queries
+
+SMALL = "/root/testdata/sf0.001"
 
 HEADER = ";".join(INVOICES.column_names)
 HEADS = [
@@ -136,6 +139,12 @@ def test_records_that_do_not_fit_are_kept(spark, config, write_file, split):
     assert result.parents.count() == 3  # padded or cut, as before
 
 
+def test_rejected_records_exports_what_it_reads(spark, monkeypatch):
+    """Headers with uneven records stand in for the invoices: those are not exported beside them."""
+    monkeypatch.setattr(exports, "raw_invoices", None)
+    assert queries.rejected_records(spark, SMALL).columns == ["invoice_id", "fields"]
+
+
 def test_raw_profile(spark, config):
     rows = {(r.table_name, r.measure, r.column_name, r.detail): r.value for r in job.run(spark, config).raw_profile.collect()}
     assert rows["invoices", "blank", "InvoiceDate", None] == "1"
