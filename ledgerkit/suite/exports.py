@@ -38,7 +38,7 @@ def _every(column: str, n: int) -> Column:
 
 def _comma(column: str | Column) -> Column:
     value = F.col(column) if isinstance(column, str) else column
-    return F.translate(value.cast("string"), ".", ",")
+    return F.replace(value.cast("string"), F.lit("."), F.lit(","))
 
 
 def _european(date: Column) -> Column:
