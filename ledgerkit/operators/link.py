@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerkit.functions.text import clean_text, to_long
 from ledgerkit.operators.hot_keys import Hot, copied, salted
 from ledgerkit.operators.project import quoted
 from ledgerkit.spec import ColumnSpec, ParentLink, TableSpec
@@ -43,6 +44,9 @@ def parent_lookup(parents: DataFrame, link: ParentLink, on_duplicate: str = "fan
 
 
 SALT = "__salt"
+#: The alternate key as it is looked up, beside its raw text.
+NUMBER = "__number"
+LOOKUP_COLUMNS = (NUMBER, SALT)
 
 
 def lookup_left(
@@ -64,6 +68,26 @@ def lookup_left(
     return left.join(right, [link.alternate, SALT], "left").select(quoted(link.key), *columns)
 
 
+def numbered(raw: DataFrame, link: ParentLink) -> DataFrame:
+    """Raw child text with the columns its buckets are made of: the number, and a salt that spreads rows without one."""
+    number = to_long(clean_text(quoted(link.alternate)))
+    return salted(raw.withColumn(NUMBER, number), NUMBER, {}, SALT)
+
+
+def lookup_in_buckets(
+    children: DataFrame, parents: DataFrame, link: ParentLink, on_duplicate: str = "fan_out"
+) -> DataFrame:
+    """``lookup_left`` of children that lie in buckets of ``LOOKUP_COLUMNS``: only the parents' keys and numbers move.
+
+    Each task holds the parents of its bucket in memory and reads the children past them, unsorted: for numbers that no
+    side holds on very many rows.
+    """
+    lookup = parent_lookup(parents, link, on_duplicate).select(quoted(link.key), quoted(link.alternate).alias(NUMBER))
+    right = copied(lookup, NUMBER, {}, SALT).hint("shuffle_hash")
+    columns = [quoted(c) for c in children.columns if c not in LOOKUP_COLUMNS]
+    return children.join(right, list(LOOKUP_COLUMNS), "left").select(quoted(link.key), *columns)
+
+
 def lookup_fan_out(children: DataFrame, parents: DataFrame, link: ParentLink) -> DataFrame:
     """One row: how many alternate keys repeat among the parents, and how many rows ``fan_out`` adds for them.
 
@@ -91,5 +115,8 @@ def link_to_parent(
 ) -> DataFrame:
     """Typed child rows with the parent key present, in the column order of ``spec``."""
     if choose_link(typed_children.columns, link) == "lookup":
-        typed_children = lookup_left(typed_children, parents, link, on_duplicate, hot)
+        if NUMBER in typed_children.columns:
+            typed_children = lookup_in_buckets(typed_children, parents, link, on_duplicate)
+        else:
+            typed_children = lookup_left(typed_children, parents, link, on_duplicate, hot)
     return typed_children.select(*[quoted(c) for c in spec.column_names])

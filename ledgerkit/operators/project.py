@@ -19,12 +19,12 @@ def clean_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
     return df.select(*[clean_text(quoted(c)).alias(c) if c in text else quoted(c) for c in df.columns])
 
 
-def apply_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Text columns to the typed columns of ``spec``, in its order."""
+def apply_spec(df: DataFrame, spec: TableSpec, keep: Iterable[str] = ()) -> DataFrame:
+    """Text columns to the typed columns of ``spec``, in its order; those to ``keep`` follow as they are."""
     missing = [c.source_name for c in spec.columns if c.source_name not in df.columns]
     if missing:
         raise ValueError(f"{spec.name}: missing columns {missing}; found {df.columns}")
-    return df.select(*[typed(c) for c in spec.columns])
+    return df.select(*[typed(c) for c in spec.columns], *[quoted(c) for c in keep])
 
 
 def project_existing(df: DataFrame, wanted: Iterable[str]) -> DataFrame:

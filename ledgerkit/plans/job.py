@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from ledgerkit.operators import integrity, profile, report
 from ledgerkit.operators.hot_keys import find_hot
-from ledgerkit.operators.link import choose_link, link_to_parent, spec_for
+from ledgerkit.operators.link import LOOKUP_COLUMNS, NUMBER, choose_link, link_to_parent, numbered, spec_for
 from ledgerkit.operators.project import apply_spec, clean_columns, project_existing, quoted, stitch_single_rows
+from ledgerkit.session import byte_size
 from ledgerkit.sources.delimited import read_delimited, repair_header
 from ledgerkit.sources.folders import kept
 from ledgerkit.sources.versions import Layout, Staged, discard, publish, stage
@@ -27,6 +28,11 @@ from ledgerkit.spec import JobConfig, ParentLink, TableSpec
 REJECTED = "_rejected"
 PROFILE_DDL = "table_name string, measure string, column_name string, detail string, value string"
 COUNTS_DDL = "table_name string, measure string, value bigint"
+#: Bytes of a parent's key and number: up to the session's broadcast threshold of them, no child moves in the lookup.
+PAIR_BYTES = 16
+#: Parents that a task of the lookup holds in memory, and its tasks for each core at least.
+BUCKET_PARENTS = 1_000_000
+BUCKETS_PER_CORE = 2
 
 
 @dataclass(frozen=True)
@@ -54,20 +60,32 @@ class JobResult:
     child_rejects: DataFrame | None = None
 
 
+def lookup_buckets(spark: SparkSession, parents: int) -> int:
+    """In how many buckets children without the key are kept for the lookup; 0 where the parents can be broadcast."""
+    limit = byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    if parents * PAIR_BYTES <= limit:
+        return 0
+    return max(-(-parents // BUCKET_PARENTS), BUCKETS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
 @contextmanager
 def raw_stage(
-    spark: SparkSession, path: str, config: JobConfig, counts: dict[str, int], name: str
+    spark: SparkSession, path: str, config: JobConfig, counts: dict[str, int], name: str, buckets: int = 0
 ) -> Iterator[DataFrame]:
     """The text columns of a file as Parquet scratch, its first header name repaired; one scan of the file.
 
-    Records that do not fit the header are counted and kept whole in the column REJECTED.
+    Records that do not fit the header are counted and kept whole in the column REJECTED. Children without the parent key
+    are dealt to ``buckets`` by their number as they are written, and have LOOKUP_COLUMNS more.
     """
     raw = read_delimited(spark, path, config.dialect, reject_column=REJECTED, rebalance=config.rebalance)
     observed = Observation()
     raw = repair_header(raw, config.link.key, config.repair).observe(
         observed, F.count(F.lit(1)).alias("rows_read"), F.count(REJECTED).alias("rows_rejected")
     )
-    with kept(raw, "raw") as text:
+    dealt = buckets and config.link.key not in raw.columns and config.link.alternate in raw.columns
+    if dealt:
+        raw = numbered(raw, config.link)
+    with kept(raw, "raw", (buckets, LOOKUP_COLUMNS) if dealt else None) as text:
         counts |= {f"{name}.{k}": v for k, v in observed.get.items()}
         yield text
 
@@ -116,11 +134,22 @@ def _rejects(raw: DataFrame) -> DataFrame:
 
 
 def link_children(raw: DataFrame, parents: DataFrame, config: JobConfig) -> DataFrame:
-    """Typed children with the parent key; where it is looked up, numbers with very many rows are spread."""
+    """Typed children with the parent key.
+
+    Where it is looked up, children in buckets stay in place; if some numbers have very many rows on either side, they
+    are shuffled instead and those numbers spread.
+    """
     cleaned = clean(raw)
-    typed = apply_spec(cleaned, spec_for(cleaned.columns, config.children, config.link))
-    looked_up = choose_link(typed.columns, config.link) == "lookup"
-    hot = find_hot(typed, config.link.alternate) if looked_up else None
+    spec = spec_for(cleaned.columns, config.children, config.link)
+    hot = None
+    if NUMBER in raw.columns:
+        hot = find_hot(raw, NUMBER)
+        if not hot and not find_hot(parents, config.link.alternate):
+            typed = apply_spec(cleaned, spec, keep=LOOKUP_COLUMNS)
+            return link_to_parent(typed, parents, config.children, config.link, config.on_duplicate)
+    typed = apply_spec(cleaned, spec)
+    if hot is None and choose_link(typed.columns, config.link) == "lookup":
+        hot = find_hot(typed, config.link.alternate)
     return link_to_parent(typed, parents, config.children, config.link, config.on_duplicate, hot)
 
 
@@ -192,11 +221,15 @@ def run(spark: SparkSession, config: JobConfig) -> JobResult:
     try:
         with (
             raw_stage(spark, config.parents_path, config, counts, heads.name) as raw_heads,
-            raw_stage(spark, config.children_path, config, counts, lines.name) as raw_lines,
-        ):
+            raw_stage(
+                spark, config.children_path, config, counts, lines.name,
+                lookup_buckets(spark, counts[f"{heads.name}.rows_read"]),
+            ) as dealt_lines,
+        ):
+            raw_lines = dealt_lines.drop(*LOOKUP_COLUMNS)
             staged.append(_stage(apply_spec(clean(raw_heads), heads), config.parents_table, config, heads))
             parents = spark.table(staged[0].staged_as)
-            staged.append(_stage(link_children(raw_lines, parents, config), config.children_table, config, lines))
+            staged.append(_stage(link_children(dealt_lines, parents, config), config.children_table, config, lines))
             staged.append(_stage(_rejects(raw_heads), f"{config.parents_table}_rejects", config))
             staged.append(_stage(_rejects(raw_lines), f"{config.children_table}_rejects", config))
             head_keys = [heads.source_of(c) for c in heads.required]

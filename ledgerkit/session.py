@@ -1,4 +1,4 @@
-"""Sessions for tests and benchmarks, and the shared folder intermediate data goes to."""
+"""Sessions for tests and benchmarks, their size settings, and the shared folder intermediate data goes to."""
 
 from __future__ import annotations
 
@@ -46,3 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def byte_size(setting: str) -> int:
+    """A size setting such as ``10485760b``, ``10m`` or ``-1`` in bytes."""
+    unit = setting.strip().lower().removesuffix("b")
+    factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit[-1:], 1)
+    return int(unit.rstrip("kmg")) * factor

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerkit.session import ensure_checkpoint_dir
+from ledgerkit.session import byte_size, ensure_checkpoint_dir
 from ledgerkit.spec import Dialect
 
 SPLIT_KEY = ["file", "start", "size", "modified"]
@@ -67,7 +67,7 @@ def physical_lines(spark: SparkSession, path: str | list[str], split_bytes: int
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
-    usual = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    usual = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     if split_bytes and split_bytes < usual:
         splits, least = text.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
         lines = lines.coalesce(min(splits, max(-(-splits * split_bytes // usual), TASKS_PER_CORE * least)))
@@ -169,13 +169,6 @@ def _record_joiner(quote: str, pattern: str) -> Callable[[Iterator[pa.RecordBatc
     return join_lines
 
 
-def _bytes(setting: str) -> int:
-    """A size setting such as ``10485760b``, ``10m`` or ``-1`` in bytes."""
-    unit = setting.strip().lower().removesuffix("b")
-    factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit[-1:], 1)
-    return int(unit.rstrip("kmg")) * factor
-
-
 def read_split(
     spark: SparkSession,
     path: str | list[str],
@@ -206,7 +199,7 @@ def read_split(
             f"a quoted value is never closed in {bad['file']}, read with Dialect(split=False); its first line with an odd "
             f"number of quotes: {at['value'][:200]!r}"
         )
-    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    limit = byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     if splits.count() * SPLIT_BYTES <= limit:
         located = lines.join(F.broadcast(splits), SPLIT_KEY, "left")
     else:

@@ -87,6 +87,97 @@ def test_lines_linked_by_number(spark, config, write_file):
     assert {r.column_name: r.status for r in result.parse_failures.collect()}["InvoiceId"] == "WARNING"
 
 
+NUMBERED = [
+    "100;1;1;1;1;1;1;1;1/01/2020;1/01/2021;a;P;G",
+    '"0100 ";2;1;1;1;1;1;1;1/01/2020;1/01/2021;"b\nc";P;G',
+    "101.0;3;1;1;1;1;1;1;1/01/2020;1/01/2021;d;P;G",
+    "555;4;1;1;1;1;1;1;1/01/2020;1/01/2021;e;P;G",
+    ";5;1;1;1;1;1;1;1/01/2020;1/01/2021;f;P;G",
+    "none;6;1;1;1;1;1;1;1/01/2020;1/01/2021;g;P;G",
+    "100;7",
+]
+
+
+@pytest.fixture
+def small_broadcasts(spark):
+    """A threshold that the numbers of a few parents pass."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.fixture
+def by_number(config, write_file):
+    """Lines without parent keys; a number that two parents carry."""
+    header = LINE_HEADER.replace("InvoiceId;", "InvoiceNumber;", 1)
+    return dataclasses.replace(
+        config,
+        parents_path=write_file("\n".join([HEADER, *HEADS, HEADS[0].replace("1;", "4;", 1)]) + "\n", "heads.csv"),
+        children_path=write_file("\n".join([header, *NUMBERED]) + "\n", "by_number.csv"),
+    )
+
+
+def linked_lines(result):
+    return sorted((r.InvoiceLineId, r.InvoiceId or 0) for r in result.children.collect())
+
+
+@pytest.mark.parametrize("on_duplicate, twice", [("fan_out", [1, 4]), ("min", [1])])
+def test_looked_up_lines_stay_in_place(spark, small_broadcasts, by_number, monkeypatch, on_duplicate, twice):
+    """Beyond the broadcast threshold, only the parents' keys and numbers are shuffled."""
+    plans = []
+
+    def link_children(raw, parents, config):
+        linked = was(raw, parents, config)
+        plans.append(linked._jdf.queryExecution().executedPlan().toString())
+        return linked
+
+    was = job.link_children
+    monkeypatch.setattr(job, "link_children", link_children)
+    result = job.run(spark, dataclasses.replace(by_number, on_duplicate=on_duplicate))
+    lines, parents = plans[0].split("ShuffledHashJoin", 1)[1].split("Scan parquet", 2)[:2]
+    assert "Exchange" not in lines and "Exchange" in parents and "SortMergeJoin" not in plans[0]
+    expected = [(n, k) for n in (1, 2, 7) for k in twice] + [(3, 2), (4, 0), (5, 0), (6, 0)]
+    assert linked_lines(result) == sorted(expected)
+    assert result.children.columns == LINES.column_names
+    assert result.child_rejects.columns == ["InvoiceNumber", *LINES.column_names[1:], job.REJECTED]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("lk_scratch")] == []
+
+
+@pytest.mark.parametrize("side", [0, 1])
+def test_lines_of_hot_numbers_leave_their_buckets(spark, small_broadcasts, by_number, monkeypatch, side):
+    """A number with very many lines or parents: the lines are shuffled, and its rows spread."""
+    calls, spread = [], []
+
+    def find_hot(df, column):
+        calls.append(column)
+        return {100: 3} if len(calls) == side + 1 else {}
+
+    def link_to_parent(typed, parents, spec, link, on_duplicate, hot=None):
+        spread.append((job.NUMBER in typed.columns, hot))
+        return was(typed, parents, spec, link, on_duplicate, hot)
+
+    was = job.link_to_parent
+    monkeypatch.setattr(job, "find_hot", find_hot)
+    monkeypatch.setattr(job, "link_to_parent", link_to_parent)
+    result = job.run(spark, by_number)
+    assert spread == [(False, {} if side else {100: 3})]
+    assert linked_lines(result) == sorted([(n, k) for n in (1, 2, 7) for k in (1, 4)] + [(3, 2), (4, 0), (5, 0), (6, 0)])
+
+
+def test_buckets_follow_the_parents(spark):
+    threshold = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b"))
+    assert job.lookup_buckets(spark, threshold // job.PAIR_BYTES) == 0
+    assert job.lookup_buckets(spark, 10**9) == 10**9 // job.BUCKET_PARENTS
+
+
+def test_orders_are_joined_before_they_become_text(spark, small_broadcasts):
+    plan = exports.raw_invoices(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    text, joined = plan.split("Join LeftOuter", 1)
+    assert "OGM" in text and "OGM" not in joined
+
+
 def test_lines_without_any_key(spark, config, write_file):
     text = LINE_HEADER.replace("InvoiceId", "Other") + "\n" + LINE_ROWS[0] + "\n"
     broken = dataclasses.replace(config, children_path=write_file(text, "keyless.csv"))
