@@ -6,6 +6,7 @@ import unicodedata
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerkit.functions.text import quoted
@@ -14,6 +15,11 @@ from ledgerkit.spec import Dialect
 
 # Characters a misread byte-order mark or encoding leaves around a name.
 DAMAGE = "\ufeff\ufffd\u00ef\u00bb\u00bf\u00fe\u00ff"
+# Rows of whole files are spread where one file holds more than this part of the bytes, or than the shares of so many
+# cores: with less, moving all rows takes longer than the task that reads the largest file.
+SPREAD_PART, SPREAD_CORES = 0.5, 4
+# Rows that stay together when they are spread, as a power of two.
+RUN_BITS = 10
 
 
 def header_names(spark: SparkSession, path: str | list[str], dialect: Dialect) -> list[str]:
@@ -49,7 +55,8 @@ def read_delimited(
     header; this is checked unless a name is empty.
 
     A multi-line file is one task unless ``dialect.split`` is set. ``rebalance`` spreads the rows right
-    after the scan, before any parsing: worth a shuffle where a few such files hold most of the data.
+    after the scan, before any parsing, where such files are too few or too uneven to keep all cores busy; the
+    files' lengths tell (``uneven_files``).
     """
     dialect = dialect or Dialect()
     names = columns or header_names(spark, path, dialect)
@@ -65,7 +72,26 @@ def read_delimited(
     if reject_column:
         reader = reader.option("columnNameOfCorruptRecord", reject_column)
     df = reader.csv(path)
-    return df.hint("rebalance") if rebalance else df
+    return spread(df) if rebalance and (not dialect.multiline or uneven_files(spark, path)) else df
+
+
+def uneven_files(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether one file holds so much that its task would keep the others waiting. No file is opened."""
+    length = F.col("length")
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max(length).alias("largest"), F.sum(length).alias("total"))
+    row, cores = sizes.first(), spark.sparkContext.defaultParallelism
+    return (row["largest"] or 0) > (row["total"] or 0) * min(SPREAD_PART, SPREAD_CORES / cores)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan dealt to all tasks, in runs that stay together.
+
+    Runs are dealt by their number, which a task that is run again gives them again. Round robin would sort each task's
+    rows for that, and a whole file seldom fits the memory: its rows would go to disk once more.
+    """
+    run = "__run" + "_" * max(map(len, df.columns))  # longer than any name of the file
+    dealt = df.withColumn(run, F.shiftright(F.monotonically_increasing_id(), RUN_BITS))
+    return dealt.hint("rebalance", run).drop(run)
 
 
 def _undamaged(name: str) -> str:

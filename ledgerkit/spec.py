@@ -143,9 +143,10 @@ class JobConfig:
     ``location`` puts the written tables under that folder instead of the catalog's warehouse.
     ``repair`` is the header rule (``strict`` or ``legacy``), ``on_duplicate`` the alternate-key rule
     (``fan_out``, ``min`` or ``error``). Files are read by many tasks each unless ``dialect`` says otherwise;
-    ``rebalance`` spreads the rows of files read whole right after the scan. A large load should raise
-    ``max_records_per_file``, or it writes very many files. Beside the two tables a run writes the records that do not fit
-    their file's header, as ``<table>_rejects``, and the profile of the raw text, as ``<parents_table>_raw_profile``.
+    ``rebalance`` spreads the rows of files read whole right after the scan, where few files hold most of the bytes. A
+    large load should raise ``max_records_per_file``, or it writes very many files. Beside the two tables a run writes the
+    records that do not fit their file's header, as ``<table>_rejects``, and the profile of the raw text, as
+    ``<parents_table>_raw_profile``.
     """
 
     parents_path: str

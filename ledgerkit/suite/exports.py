@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerkit.session import shared_folder
+from ledgerkit.operators.hot_keys import join_tasks
+from ledgerkit.session import byte_size, shared_folder
 from ledgerkit.spec import Dialect
 
 NUMBER_OFFSET = 1_000_000
@@ -20,6 +21,8 @@ NO_COUNTRY_EVERY = 53
 LOST_PARENT_EVERY = 10
 LOST_PARENT_OFFSET = 1_000_000_000_000
 REPEATED_NUMBER_EVERY = 15
+#: Rows of a table that a task holds in memory to look others up in.
+HELD_ROWS = 1_000_000
 
 _written: set[str] = set()
 
@@ -106,9 +109,19 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held(lookup: DataFrame) -> DataFrame:
+    """A table to join others to: beyond the broadcast threshold its rows are held in memory, shared out among the tasks
+    of the join, so that the other side is not sorted and does not spill. If they are too many for that, both are sorted."""
+    conf = lookup.sparkSession.conf
+    size = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size <= byte_size(conf.get("spark.sql.autoBroadcastJoinThreshold")):
+        return lookup
+    return lookup.hint("shuffle_hash") if lookup.count() <= HELD_ROWS * join_tasks(lookup) else lookup
+
+
 def raw_lines(spark: SparkSession, sf_dir: str, key: str = "InvoiceId") -> DataFrame:
     """Line text keyed by ``InvoiceId``, or by ``InvoiceNumber`` for an export without parent keys."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    part = _held(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"))
     lineitem = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     parent = F.col("l_orderkey") if key == "InvoiceId" else F.col("l_orderkey") + NUMBER_OFFSET
     return lineitem.select(

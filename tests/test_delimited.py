@@ -78,6 +78,29 @@ def test_rebalance_only_when_asked_for(spark, write_file, asked):
     assert ("RebalancePartitions" in plan or "Hint (strategy=rebalance)" in plan) == asked
 
 
+def test_files_that_keep_all_cores_busy_are_not_spread(spark, write_file):
+    """Whole files of even size give every core its share: their rows stay in the tasks that read them."""
+    files = [write_file(f"A;B\n{i + 10};x\n", f"{i}.csv") for i in range(2 * spark.sparkContext.defaultParallelism)]
+    even = read_delimited(spark, files, rebalance=True)
+    assert "Exchange" not in even._jdf.queryExecution().executedPlan().toString()
+    assert sorted(rows(even)) == [(str(i + 10), "x") for i in range(len(files))]
+    large = write_file("A;B\n" + "1;y\n" * 10_000, "large.csv")
+    uneven = read_delimited(spark, [*files, large], rebalance=True)
+    assert "Exchange" in uneven._jdf.queryExecution().executedPlan().toString()
+    assert uneven.count() == 10_000 + len(files)
+
+
+def test_rows_of_a_whole_file_are_spread_unsorted(spark, write_file):
+    """Round robin sorts all rows of a task before it deals them, and a large file's rows then spill."""
+    values = [(str(i), "x;\ny", "") for i in range(5_000)]
+    path = write_file("A;__run;`c.d`\n" + "".join(f'{a};"{b}";\n' for a, b, _ in values))
+    spread = read_delimited(spark, path, rebalance=True)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" in plan and "RoundRobin" not in plan
+    assert spread.columns == ["A", "__run", "`c.d`"]
+    assert sorted(rows(spread)) == sorted((a, b, None) for a, b, _ in values)
+
+
 @pytest.mark.parametrize(
     ("columns", "mode", "expected"),
     [

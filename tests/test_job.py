@@ -1,12 +1,15 @@
 import dataclasses
+import datetime
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerkit.plans import job
 from ledgerkit.plans.invoices import INVOICES, LINES, LINK
 from ledgerkit.session import shared_folder
+from ledgerkit.sources import folders
 from ledgerkit.sources.folders import kept
 from ledgerkit.spec import ColumnSpec, Dialect, JobConfig, ParentLink, TableSpec
 from ledgerkit.suite import exports, queries
@@ -178,6 +181,32 @@ def test_orders_are_joined_before_they_become_text(spark, small_broadcasts):
     assert "OGM" in text and "OGM" not in joined
 
 
+def test_lines_beyond_a_broadcast_are_joined_unsorted(spark, small_broadcasts, tmp_path, monkeypatch):
+    """Each task holds its share of the parts: no line is sorted for them, which spills where lines are many."""
+    columns = (
+        "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_quantity double, l_tax double, l_discount double, "
+        "l_shipdate timestamp, l_partkey bigint"
+    )
+    day = datetime.datetime(2020, 1, 2)
+    lines = [(n, 1, 1.5, 2.0, 0.1, 0.2, day, key) for n, key in enumerate([1, 1, 2, 3, None, 9])]
+    parts = [(1, "a", "b"), (2, "c", "d"), (2, "e", "f"), (3, None, None), (None, "g", "h")]
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+
+    def joined():
+        df = exports.raw_lines(spark, str(tmp_path))
+        found = sorted((int(r.InvoiceId), r.Description or "", r.ProductGroupCode or "") for r in df.collect())
+        return found, df._jdf.queryExecution().executedPlan().toString()
+
+    found, plan = joined()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    names = [(0, "a", "b"), (1, "a", "b"), (2, "c", "d"), (2, "e", "f")]
+    assert found == [(n, f'"{name}";\nyearly', brand) for n, name, brand in names] + [(3, "", ""), (4, "", ""), (5, "", "")]
+    monkeypatch.setattr(exports, "HELD_ROWS", 0)
+    many, plan = joined()
+    assert many == found and "ShuffledHashJoin" not in plan  # too many parts to hold
+
+
 def test_lines_without_any_key(spark, config, write_file):
     text = LINE_HEADER.replace("InvoiceId", "Other") + "\n" + LINE_ROWS[0] + "\n"
     broken = dataclasses.replace(config, children_path=write_file(text, "keyless.csv"))
@@ -191,6 +220,13 @@ def test_legacy_repair_takes_the_first_column(spark, config, write_file):
     assert [r.InvoiceId for r in job.run(spark, legacy).children.collect()] == [1]
 
 
+def test_scratch_of_one_task_is_read_by_several(spark, monkeypatch):
+    monkeypatch.setattr(folders, "ROW_GROUP_BYTES", 1 << 16)
+    with kept(spark.range(0, 100_000, 1, 1)) as df:
+        (file,) = [f.removeprefix("file://") for f in df.inputFiles()]
+        assert pq.ParquetFile(file).num_row_groups > 2
+
+
 def test_kept_frames_are_deleted(spark):
     with kept(spark.range(5)) as df:
         assert df.count() == 5 and df.inputFiles()
