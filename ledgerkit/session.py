@@ -8,6 +8,8 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Bytes of heap that Spark keeps from its tasks.
+RESERVED_HEAP = 300 << 20
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -53,3 +55,16 @@ def byte_size(setting: str) -> int:
     unit = setting.strip().lower().removesuffix("b")
     factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit[-1:], 1)
     return int(unit.rstrip("kmg")) * factor
+
+
+def task_memory(spark: SparkSession) -> int:
+    """Bytes of heap that a task of a join can count on while all cores are busy; too few rather than too many."""
+    context = spark.sparkContext
+    conf, cores = context.getConf(), context.defaultParallelism
+    if context.master.split("[")[0] == "local":
+        machine = spark._jvm.java.lang.Runtime.getRuntime()
+        heap, cores = machine.maxMemory(), max(cores, machine.availableProcessors())
+    else:
+        heap = byte_size(conf.get("spark.executor.memory", "1g"))
+        cores = int(conf.get("spark.executor.cores", str(cores)))
+    return int((heap - RESERVED_HEAP) * float(conf.get("spark.memory.fraction", "0.6")) / max(cores, 1))

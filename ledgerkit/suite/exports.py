@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerkit.operators.hot_keys import join_tasks
-from ledgerkit.session import byte_size, shared_folder
+from ledgerkit.session import byte_size, shared_folder, task_memory
 from ledgerkit.spec import Dialect
 
 NUMBER_OFFSET = 1_000_000
@@ -21,8 +21,8 @@ NO_COUNTRY_EVERY = 53
 LOST_PARENT_EVERY = 10
 LOST_PARENT_OFFSET = 1_000_000_000_000
 REPEATED_NUMBER_EVERY = 15
-#: Rows of a table that a task holds in memory to look others up in.
-HELD_ROWS = 1_000_000
+#: Bytes of a row held in memory beside its text, the room its table grows by included.
+HELD_ROW_BYTES = 150
 
 _written: set[str] = set()
 
@@ -110,13 +110,15 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _held(lookup: DataFrame) -> DataFrame:
-    """A table to join others to: beyond the broadcast threshold its rows are held in memory, shared out among the tasks
-    of the join, so that the other side is not sorted and does not spill. If they are too many for that, both are sorted."""
-    conf = lookup.sparkSession.conf
+    """A table to join others to: beyond the broadcast threshold the tasks of the join share its rows and hold them in
+    memory, so that the other side is not sorted and does not spill. Both are sorted where memory is too small."""
+    spark = lookup.sparkSession
     size = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size <= byte_size(conf.get("spark.sql.autoBroadcastJoinThreshold")):
+    if size <= byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")):
         return lookup
-    return lookup.hint("shuffle_hash") if lookup.count() <= HELD_ROWS * join_tasks(lookup) else lookup
+    text = F.octet_length(F.concat_ws("", *lookup.columns))
+    need = lookup.agg(F.sum(text + F.lit(HELD_ROW_BYTES))).first()[0] or 0
+    return lookup.hint("shuffle_hash") if need <= task_memory(spark) * join_tasks(lookup) else lookup
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, key: str = "InvoiceId") -> DataFrame:

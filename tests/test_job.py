@@ -202,7 +202,7 @@ def test_lines_beyond_a_broadcast_are_joined_unsorted(spark, small_broadcasts, t
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
     names = [(0, "a", "b"), (1, "a", "b"), (2, "c", "d"), (2, "e", "f")]
     assert found == [(n, f'"{name}";\nyearly', brand) for n, name, brand in names] + [(3, "", ""), (4, "", ""), (5, "", "")]
-    monkeypatch.setattr(exports, "HELD_ROWS", 0)
+    monkeypatch.setattr(exports, "task_memory", lambda spark: 0)
     many, plan = joined()
     assert many == found and "ShuffledHashJoin" not in plan  # too many parts to hold
 
